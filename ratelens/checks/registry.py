@@ -100,14 +100,14 @@ def _list_query(column: str, labels, prefix: str, mode: str) -> Query:
 def median_impute(spark, directory):
     numbers = feature_plans.extract_numbers(raw_titles(spark, directory))
     columns = feature_plans.IMPUTED_COLUMNS
-    filled = scaling.impute(numbers, columns, scaling.fit_medians(numbers, columns))
+    filled = scaling.impute(numbers, columns, scaling.fit_columns(numbers, medians=columns))
     return filled.select("anime_id", *[F.col(f"`{c}`") for c in columns])
 
 
 def minmax_scale(spark, directory):
     titles = raw_titles(spark, directory).select("anime_id", *SCALED)
     outputs = [f"{c.lower()}_normalized" for c in SCALED]
-    scaled = scaling.scale(titles, SCALED, outputs, scaling.fit_min_max(titles, SCALED))
+    scaled = scaling.scale(titles, SCALED, outputs, scaling.fit_columns(titles, bounds=SCALED))
     return rounded(scaled.select("anime_id", *outputs))
 
 

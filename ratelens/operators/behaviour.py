@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import FULL_VOCABULARY, BehaviourVocabulary
 from ratelens.operators.encoding import category_indicators, list_indicators
-from ratelens.operators.scaling import fit_min_max, scale
+from ratelens.operators.scaling import fit_columns, scale
 
 # Raw user column -> feature.
 PROFILE_COLUMNS = (
@@ -122,5 +122,5 @@ def scaled_features(
     features: DataFrame, columns: Sequence[str] = SCALED_COLUMNS, fit_on: DataFrame | None = None
 ) -> DataFrame:
     """Min-max scaled copies named ``<column>_normalized``, fitted on ``fit_on`` or on all rows."""
-    fit = fit_min_max(features if fit_on is None else fit_on, columns)
+    fit = fit_columns(features if fit_on is None else fit_on, bounds=columns)
     return scale(features, columns, [f"{c}_normalized" for c in columns], fit)

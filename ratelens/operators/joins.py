@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.session import stored
+
 HOT_KEY_LIMIT = 1000  # proven bound of the broadcast list; a key outside it holds under 1/1000 of the rows
 ROWS_PER_SLICE = 2_000_000
 
@@ -56,8 +58,8 @@ def with_group_stats(
     """Each row beside aggregates of its group, as ``agg() OVER (PARTITION BY key)`` for non-NULL keys.
 
     A window would bring a whole group into one task. Map-side aggregation and a sliced join do not.
+    The aggregates are stored, as both the list of hot keys and the join read them.
     """
-    grouped = df.groupBy(key)
-    counts = grouped.agg(F.count("*").alias("__rows"))
-    hot = hot_keys(counts, key, "__rows", rows_per_slice)
-    return sliced_join(df, grouped.agg(*stats), key, hot, spread_by)
+    groups = stored(df.groupBy(key).agg(*stats, F.count("*").alias("__rows")), "group-stats")
+    hot = hot_keys(groups, key, "__rows", rows_per_slice)
+    return sliced_join(df, groups.drop("__rows"), key, hot, spread_by)

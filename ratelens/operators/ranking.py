@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelens.session import scratch_path
+from ratelens.session import stored
 
 _POS = "__pos"
 _TASK = "__task"
@@ -23,11 +23,9 @@ _TASK_SHIFT = 33  # monotonically_increasing_id keeps the partition number above
 
 def _store_sorted(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Range-sort, attach the position and write; reading back allows pruned passes over it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "sorted")
     keys = [F.col(name).asc_nulls_first() for name in partition_by] + list(order_by)
-    df.orderBy(*keys).withColumn(_POS, F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path).withColumn(_TASK, F.shiftright(F.col(_POS), _TASK_SHIFT))
+    positioned = stored(df.orderBy(*keys).withColumn(_POS, F.monotonically_increasing_id()), "sorted")
+    return positioned.withColumn(_TASK, F.shiftright(F.col(_POS), _TASK_SHIFT))
 
 
 def dense_row_number(
@@ -41,8 +39,8 @@ def dense_row_number(
 
     ``order_by`` must be a total order within a group, otherwise ties fall arbitrarily.
     """
-    stored = _store_sorted(df, partition_by, order_by)
-    runs = stored.groupBy(_TASK, *partition_by).agg(F.count("*").alias("__rows"), F.min(_POS).alias("__first"))
+    rows = _store_sorted(df, partition_by, order_by)
+    runs = rows.groupBy(_TASK, *partition_by).agg(F.count("*").alias("__rows"), F.min(_POS).alias("__first"))
     # At most one row per sort task and group here.
     earlier = Window.partitionBy(*partition_by).orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
@@ -57,7 +55,7 @@ def dense_row_number(
     for name in partition_by:
         same_run = same_run & F.col(name).eqNullSafe(F.col(f"__run_{name}"))
     extra = [F.col("__size").alias(group_size)] if group_size else []
-    return stored.join(runs, same_run).select(
+    return rows.join(runs, same_run).select(
         *[F.col(f"`{name}`") for name in df.columns],
         (F.col(_POS) + F.col("__shift") + 1).alias(output),
         *extra,
@@ -79,14 +77,14 @@ def ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], output: str =
 
 def next_value(df: DataFrame, column: str, order_by: Sequence[Column], output: str) -> DataFrame:
     """SQL ``LEAD(column) OVER (ORDER BY ...)``: local neighbour, and across tasks the next task's first."""
-    stored = _store_sorted(df, (), order_by)
-    heads = stored.groupBy(_TASK).agg(F.min_by(column, _POS).alias("__head"), F.max(_POS).alias("__last"))
+    rows = _store_sorted(df, (), order_by)
+    heads = rows.groupBy(_TASK).agg(F.min_by(column, _POS).alias("__head"), F.max(_POS).alias("__last"))
     # One row per sort task, hence the window and the broadcast stay small.
     heads = heads.select(
         _TASK, "__last", F.lead("__head").over(Window.orderBy(_TASK)).alias("__next_head")
     )
     local = F.lead(column).over(Window.partitionBy(_TASK).orderBy(_POS))
-    joined = stored.withColumn("__local", local).join(F.broadcast(heads), _TASK)
+    joined = rows.withColumn("__local", local).join(F.broadcast(heads), _TASK)
     following = F.when(F.col(_POS) == F.col("__last"), F.col("__next_head")).otherwise(F.col("__local"))
     return joined.select(*[F.col(f"`{name}`") for name in df.columns], following.alias(output))
 

@@ -16,40 +16,33 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """Median of each column by a mergeable sketch; rank error at most rows / accuracy."""
-    medians = [F.percentile_approx(_quoted(c), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(columns)]
-    return df.agg(F.struct(*medians).alias("fit"))
+def fit_columns(
+    df: DataFrame, medians: Sequence[str] = (), bounds: Sequence[str] = (), accuracy: int = 10000
+) -> DataFrame:
+    """Medians of some columns and minimum and maximum of others.
+
+    Medians come from a mergeable sketch with a rank error of at most rows / accuracy.
+    """
+    parts = [F.percentile_approx(_quoted(c), 0.5, accuracy).alias(f"median {c}") for c in medians]
+    for c in bounds:
+        value = _quoted(c).cast("double")
+        parts += [F.min(value).alias(f"min {c}"), F.max(value).alias(f"max {c}")]
+    return df.agg(F.struct(*parts).alias("fit"))
 
 
 def impute(df: DataFrame, columns: Sequence[str], fit: DataFrame) -> DataFrame:
     """NULLs of the columns replaced by their fitted medians."""
-    place = {c: i for i, c in enumerate(columns)}
-    filled = df.withColumn("__fit", fit.scalar())
-    return filled.select(
-        *[
-            F.coalesce(_quoted(c), F.col(f"__fit.m{place[c]}")).alias(c) if c in place else _quoted(c)
-            for c in df.columns
-        ]
-    )
-
-
-def fit_min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    bounds = []
-    for i, c in enumerate(columns):
-        value = _quoted(c).cast("double")
-        bounds += [F.min(value).alias(f"l{i}"), F.max(value).alias(f"h{i}")]
-    return df.agg(F.struct(*bounds).alias("fit"))
+    filled = {c: F.coalesce(_quoted(c), F.col("__fit")[f"median {c}"]) for c in columns}
+    return df.withColumn("__fit", fit.scalar()).withColumns(filled).drop("__fit")
 
 
 def scale(df: DataFrame, columns: Sequence[str], outputs: Sequence[str], fit: DataFrame) -> DataFrame:
     """(x - min) / (max - min) in the output columns; a constant column gives 0.0, NULL stays NULL."""
-    scaled = []
-    for i, (c, output) in enumerate(zip(columns, outputs)):
+    scaled = {}
+    for c, output in zip(columns, outputs):
         value = _quoted(c).cast("double")
-        low, high = F.col(f"__fit.l{i}"), F.col(f"__fit.h{i}")
-        ratio = F.when(high == low, F.when(value.isNotNull(), 0.0)).otherwise(
+        low, high = F.col("__fit")[f"min {c}"], F.col("__fit")[f"max {c}"]
+        scaled[output] = F.when(high == low, F.when(value.isNotNull(), 0.0)).otherwise(
             F.try_divide(value - low, high - low)
         )
-        scaled.append(ratio.alias(output))
-    return df.withColumn("__fit", fit.scalar()).select(*[_quoted(c) for c in df.columns], *scaled)
+    return df.withColumn("__fit", fit.scalar()).withColumns(scaled).drop("__fit")

@@ -9,19 +9,22 @@ from pyspark.sql import functions as F
 
 
 def feature_target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Pearson correlation of every feature with the target (NULL for a constant feature)."""
-    spread = [F.stddev_pop(f"`{c}`").alias(f"s{i}") for i, c in enumerate(features)]
-    goal = F.col(f"`{target}`").cast("double")
-    products = [F.covar_pop(F.col(f"`{c}`").cast("double"), goal).alias(f"v{i}") for i, c in enumerate(features)]
-    totals = df.filter(goal.isNotNull()).agg(F.stddev_pop(goal).alias("st"), *spread, *products)
-    rows = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.try_divide(F.col(f"v{i}"), F.col(f"s{i}") * F.col("st")).alias("correlation"),
+    """Pearson correlation of every feature with the target (NULL for a constant feature).
+
+    Features are unpivoted, so that one small aggregation serves any number of them; each task keeps
+    one partial row per feature.
+    """
+    goal = F.col("__target")
+    value = F.col("value")
+    return (
+        df.withColumn("__target", F.col(f"`{target}`").cast("double"))
+        .filter(goal.isNotNull())
+        .unpivot("__target", [F.col(f"`{c}`") for c in features], "feature", "value")
+        .groupBy("feature")
+        .agg(
+            F.try_divide(F.covar_pop(value, goal), F.stddev_pop(value) * F.stddev_pop(goal)).alias("correlation")
         )
-        for i, c in enumerate(features)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+    )
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -41,23 +44,16 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def class_feature_means(df: DataFrame, features: Sequence[str], label: str, first, second) -> DataFrame:
     """Mean of every feature in two classes and the ratio second / first."""
-    aggregates = []
-    for i, c in enumerate(features):
-        value = F.col(f"`{c}`")
-        aggregates += [
-            F.avg(F.when(F.col(label) == first, value)).alias(f"a{i}"),
-            F.avg(F.when(F.col(label) == second, value)).alias(f"b{i}"),
-        ]
-    rows = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"a{i}").alias("mean_first"),
-            F.col(f"b{i}").alias("mean_second"),
-            F.try_divide(F.col(f"b{i}"), F.col(f"a{i}")).alias("ratio"),
+    value = F.col("value")
+    return (
+        df.unpivot(label, [F.col(f"`{c}`") for c in features], "feature", "value")
+        .groupBy("feature")
+        .agg(
+            F.avg(F.when(F.col(label) == first, value)).alias("mean_first"),
+            F.avg(F.when(F.col(label) == second, value)).alias("mean_second"),
         )
-        for i, c in enumerate(features)
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+        .withColumn("ratio", F.try_divide(F.col("mean_second"), F.col("mean_first")))
+    )
 
 
 def collapse_titles(ratings: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:

@@ -29,7 +29,8 @@ from ratelens.operators.behaviour import (
 )
 from ratelens.operators.encoding import category_indicators, encode, list_indicators
 from ratelens.operators.sampling import seeded_sample
-from ratelens.operators.scaling import fit_medians, fit_min_max, impute, scale
+from ratelens.operators.scaling import fit_columns, impute, scale
+from ratelens.session import stored
 
 # Columns cast, imputed and scaled by the regression table.
 COUNT_COLUMNS = ("Members", "Favorites", "Popularity", "Watching", "Completed", "On-Hold", "Dropped", "Ranked")
@@ -88,9 +89,9 @@ def regression_features(
     imputed = [c for c in IMPUTED_COLUMNS if c in numbers.columns]
     normalized = [c for c in NORMALIZED_COLUMNS if c in numbers.columns]
     outputs = [f"{c.lower()}_normalized" for c in normalized]
-    filled = impute(numbers, imputed, fit_medians(fitted, imputed))
-    # A median lies inside its column's bounds, so imputing cannot move them.
-    scaled = scale(filled, normalized, outputs, fit_min_max(fitted, normalized))
+    # One fit for both: a median lies inside its column's bounds, so imputing cannot move them.
+    fit = fit_columns(fitted, medians=imputed, bounds=normalized)
+    scaled = scale(impute(numbers, imputed, fit), normalized, outputs, fit)
     encoded = encode(scaled, *title_indicators(mode))
     return encoded.select(*REGRESSION_IDS, *EXTRACTED_COLUMNS, *outputs, *INDICATOR_COLUMNS)
 
@@ -115,13 +116,15 @@ def classification_features(
     """One row per user of known class with enough ratings: label, behaviour and profile features.
 
     Users are filtered before features are scaled. ``users`` has the raw columns with ``user_id`` as id.
+    The unscaled table, one row per user, is stored once: fitting the scale on its lineage would
+    aggregate all ratings a second time.
     """
     known = users.filter(F.col("Gender").isin(*selection.classes))
     if selection.sample_users:
         known = seeded_sample(known, selection.sample_users, "user_id", selection.seed)
     behaviour = user_behaviour(ratings_of(ratings, known), titles, vocabulary)
     enough = behaviour.filter(F.col("total_ratings") >= selection.min_ratings)
-    features = derived_features(enough.join(user_profile(known), "user_id"), vocabulary)
+    features = stored(derived_features(enough.join(user_profile(known), "user_id"), vocabulary), "user-features")
     filled = scaled_features(features).fillna(0)
     return filled.select(*CLASSIFICATION_IDS, *classification_columns(vocabulary))
 
