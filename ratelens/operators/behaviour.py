@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import FULL_VOCABULARY, BehaviourVocabulary
 from ratelens.operators.encoding import category_indicators, list_indicators
+from ratelens.operators.joins import broadcast_if_small
 from ratelens.operators.scaling import fit_columns, scale
 
 # Raw user column -> feature.
@@ -52,7 +53,7 @@ def user_behaviour(
     types = category_indicators(F.col("Type"), vocabulary.types, "type_count")
     genre_names = [feature_name("genre_count", g) for g in vocabulary.genres]
     type_names = [feature_name("type_count", t) for t in vocabulary.types]
-    encoded = titles.select("anime_id", *genres, *types)
+    encoded = broadcast_if_small(titles.select("anime_id", *genres, *types))
     score = F.col("rating")
 
     rated = ratings_with_titles(ratings.select("user_id", "anime_id", "rating"), encoded)

@@ -11,6 +11,7 @@ from ratelens.session import stored
 
 HOT_KEY_LIMIT = 1000  # proven bound of the broadcast list; a key outside it holds under 1/1000 of the rows
 ROWS_PER_SLICE = 2_000_000
+BROADCAST_ROWS = 200_000  # under 100 MB for rows of fifty numbers
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -54,12 +55,25 @@ def with_group_stats(
     stats: Sequence[Column],
     spread_by: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
+    attributes: DataFrame | None = None,
 ) -> DataFrame:
     """Each row beside aggregates of its group, as ``agg() OVER (PARTITION BY key)`` for non-NULL keys.
 
     A window would bring a whole group into one task. Map-side aggregation and a sliced join do not.
-    The aggregates are stored, as both the list of hot keys and the join read them.
+    ``attributes`` (one row per key) are joined to the aggregates and not to ``df``, which is shuffled
+    only once. The aggregates are stored, as both the list of hot keys and the join read them.
     """
-    groups = stored(df.groupBy(key).agg(*stats, F.count("*").alias("__rows")), "group-stats")
+    groups = df.groupBy(key).agg(*stats, F.count("*").alias("__rows"))
+    if attributes is not None:
+        groups = groups.join(attributes, key)
+    groups = stored(groups, "group-stats")
     hot = hot_keys(groups, key, "__rows", rows_per_slice)
     return sliced_join(df, groups.drop("__rows"), key, hot, spread_by)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unmarked.
+
+    Unmarked, the join is planned by size as usual, and adaptive execution splits its hot keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

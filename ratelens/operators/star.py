@@ -55,7 +55,7 @@ TITLE_COLUMNS = (
 class Star(NamedTuple):
     dim_user: DataFrame
     dim_anime: DataFrame
-    dim_date: DataFrame
+    dim_date: DataFrame | None
     fact: DataFrame
 
 
@@ -109,42 +109,45 @@ def date_dimension(spark: SparkSession, start: str = "2000-01-01", end: str = "2
     return _calendar(bounds.select(F.explode(F.sequence("start", "end")).alias("Full_Date")))
 
 
-def date_dimension_of(df: DataFrame, column: str) -> DataFrame:
-    """One row per day of the span that ``column`` covers."""
-    span = df.agg(F.min(column).alias("start"), F.max(column).alias("end")).filter(F.col("start").isNotNull())
-    return _calendar(span.select(F.explode(F.sequence("start", "end")).alias("Full_Date")))
+def date_dimension_of(fact: DataFrame) -> DataFrame:
+    """One row per day of the span that the fact's date keys cover."""
+    span = fact.agg(F.min("Date_SK").alias("low"), F.max("Date_SK").alias("high")).filter(F.col("low").isNotNull())
+    start, end = (F.to_date(F.col(c).cast("string"), "yyyyMMdd") for c in ("low", "high"))
+    return _calendar(span.select(F.explode(F.sequence(start, end)).alias("Full_Date")))
 
 
 def ratings_fact(
     ratings: DataFrame,
     dim_user: DataFrame,
     dim_anime: DataFrame,
-    dim_date: DataFrame,
+    dim_date: DataFrame | None = None,
     date_column: str | None = None,
     load_date: str | None = None,
 ) -> DataFrame:
     """Ratings of known users and titles with keys, deviation and flags.
 
-    The date key belongs to ``date_column`` when the source has one, else to the load date. Dimensions
-    are joined without a hint: under the broadcast threshold they are broadcast, beyond it adaptive
-    execution splits hot users and titles of the shuffled join.
+    The date key belongs to ``date_column`` when the source has one, else to the load date; with a
+    ``dim_date`` it is looked up there, and days outside that calendar get no key. Dimensions are joined
+    without a hint: under the broadcast threshold they are broadcast, beyond it adaptive execution
+    splits hot users and titles of the shuffled join.
     """
-    source_date = F.col(date_column).cast("date") if date_column else None
-    rows = ratings.select(
-        F.col("user_id").alias("User_ID"),
-        F.col("anime_id").alias("Anime_ID"),
-        typed(F.col("rating"), "int").alias("User_Rating"),
-        *([source_date.alias("Full_Date")] if date_column else []),
-    )
-    rows = rows.join(dim_user.select("User_SK", "User_ID"), "User_ID").join(
-        dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score"), "Anime_ID"
-    )
     if date_column:
-        # A calendar has a few hundred rows per year, whatever the size of the fact.
-        rows = rows.join(F.broadcast(dim_date.select("Date_SK", "Full_Date")), "Full_Date", "left")
+        day = F.col(date_column).cast("date")
     else:
         day = F.lit(load_date).cast("date") if load_date else F.current_date()
-        rows = rows.withColumn("Date_SK", date_key(day))
+    rows = (
+        ratings.select(
+            F.col("user_id").alias("User_ID"),
+            F.col("anime_id").alias("Anime_ID"),
+            typed(F.col("rating"), "int").alias("User_Rating"),
+            date_key(day).alias("Date_SK"),
+        )
+        .join(dim_user.select("User_SK", "User_ID"), "User_ID")
+        .join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score"), "Anime_ID")
+    )
+    if dim_date is not None:
+        known = dim_date.select(F.col("Date_SK").alias("__day"))
+        rows = rows.join(known, F.col("Date_SK") == F.col("__day"), "left").withColumn("Date_SK", F.col("__day"))
     rating = F.col("User_Rating")
     return rows.select(
         "User_SK",
@@ -166,11 +169,13 @@ def build_star(
     date_column: str | None = None,
     load_date: str | None = None,
 ) -> Star:
-    """All four tables from raw inputs; the calendar follows the ratings when they carry a date."""
+    """All four tables from raw inputs.
+
+    Dated ratings leave ``dim_date`` open: it covers their span and is derived from the stored fact,
+    which is far cheaper to read than the ratings are to compute again. Otherwise it is the default range.
+    """
     dim_user, dim_anime = user_dimension(users), title_dimension(titles)
-    if date_column:
-        dim_date = date_dimension_of(ratings.select(F.col(date_column).cast("date").alias("day")), "day")
-    else:
-        dim_date = date_dimension(ratings.sparkSession)
-    fact = ratings_fact(ratings, dim_user, dim_anime, dim_date, date_column, load_date)
-    return Star(dim_user, dim_anime, dim_date, fact)
+    dim_date = None if date_column else date_dimension(ratings.sparkSession)
+    return Star(
+        dim_user, dim_anime, dim_date, ratings_fact(ratings, dim_user, dim_anime, None, date_column, load_date)
+    )

@@ -2,7 +2,8 @@
 
 Each query is a function of the star with its constants as parameters. Ties are broken by id, so that
 a top-k or a rank is defined. Dimension joins carry no hint: Catalyst and adaptive execution broadcast
-them by their measured size and shuffle otherwise.
+them by their measured size and shuffle otherwise. Where the result is grouped by a dimension's
+attribute, ratings are first aggregated per key, so that the join handles one row per user or title.
 """
 
 from __future__ import annotations
@@ -71,8 +72,9 @@ def rating_vs_user_mean(star: Star, limit: int | None = None, rows_per_slice: in
     """Each rating against the user's profile mean and the mean of the user's ratings."""
     means = [F.avg("User_Rating").alias("avg_user_rating")]
     ratings = star.fact.select("User_SK", "Anime_SK", "User_Rating")
-    rated = with_group_stats(ratings, "User_SK", means, ["Anime_SK", "User_Rating"], rows_per_slice)
-    result = rated.join(star.dim_user.select("User_SK", "User_Mean_Score"), "User_SK").select(
+    users = star.dim_user.select("User_SK", "User_Mean_Score")
+    rated = with_group_stats(ratings, "User_SK", means, ["Anime_SK", "User_Rating"], rows_per_slice, users)
+    result = rated.select(
         "User_SK",
         "Anime_SK",
         "User_Rating",
@@ -102,10 +104,9 @@ def user_rating_count_window(
     """Each rating beside the user's number of ratings."""
     counts = [F.count("*").alias("total_user_ratings")]
     ratings = star.fact.select("User_SK", "Anime_SK", "User_Rating")
-    rated = with_group_stats(ratings, "User_SK", counts, ["Anime_SK", "User_Rating"], rows_per_slice)
-    result = rated.join(star.dim_user.select("User_SK", "Username"), "User_SK").select(
-        "User_SK", "Username", "Anime_SK", "User_Rating", "total_user_ratings"
-    )
+    users = star.dim_user.select("User_SK", "Username")
+    rated = with_group_stats(ratings, "User_SK", counts, ["Anime_SK", "User_Rating"], rows_per_slice, users)
+    result = rated.select("User_SK", "Username", "Anime_SK", "User_Rating", "total_user_ratings")
     return _preview(result, limit, "User_SK", "Anime_SK", "User_Rating")
 
 
@@ -219,12 +220,14 @@ def avg_episodes_by_age_rating(star: Star) -> DataFrame:
 
 def avg_deviation_by_studio(star: Star, k: int = 20) -> DataFrame:
     """The ``k`` studios whose ratings exceed the titles' scores most on average."""
+    per_title = star.fact.groupBy("Anime_SK").agg(
+        F.sum("Rating_Deviation").alias("__sum"), F.count("Rating_Deviation").alias("__rated")
+    )
     studios = star.dim_anime.filter(valid_studio(F.col("Studios"))).select("Anime_SK", "Studios")
     return (
-        star.fact.select("Anime_SK", "Rating_Deviation")
-        .join(studios, "Anime_SK")
+        per_title.join(studios, "Anime_SK")
         .groupBy("Studios")
-        .agg(F.avg("Rating_Deviation").alias("avg_rating_deviation"))
+        .agg(F.try_divide(F.sum("__sum"), F.sum("__rated")).alias("avg_rating_deviation"))
         .orderBy(F.desc_nulls_last("avg_rating_deviation"), F.asc("Studios"))
         .limit(k)
     )

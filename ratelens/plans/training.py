@@ -20,25 +20,25 @@ from ratelens.sources.readers import path_exists
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A named estimator, built for a label column, with the stages it needs before it."""
+    """A named estimator, built for a label column and a number of training rows."""
 
     name: str
-    estimator: Callable[[str], object]
+    estimator: Callable[[str, int], object]
     standardize: bool = False
 
 
 def regression_models(depth: int = 10) -> list[ModelSpec]:
     """Random forest, boosted trees and bagged trees."""
-    trees = {"maxDepth": depth, "seed": 42, "featuresCol": "features"}
+    trees = {"maxDepth": depth, "seed": 42, "featuresCol": "features", "maxMemoryInMB": 1024}
     return [
         ModelSpec(
             "Random Forest (n=100)",
-            lambda y: RandomForestRegressor(labelCol=y, numTrees=100, featureSubsetStrategy="all", **trees),
+            lambda y, n: RandomForestRegressor(labelCol=y, numTrees=100, featureSubsetStrategy="all", **trees),
         ),
-        ModelSpec("Gradient Boosting", lambda y: GBTRegressor(labelCol=y, **{**trees, "maxDepth": 5})),
+        ModelSpec("Gradient Boosting", lambda y, n: GBTRegressor(labelCol=y, **{**trees, "maxDepth": 5})),
         ModelSpec(
             "Bagged Trees (n=10)",
-            lambda y: RandomForestRegressor(labelCol=y, numTrees=10, featureSubsetStrategy="all", **trees),
+            lambda y, n: RandomForestRegressor(labelCol=y, numTrees=10, featureSubsetStrategy="all", **trees),
         ),
     ]
 
@@ -48,16 +48,16 @@ def classification_models(depth: int = 10) -> list[ModelSpec]:
     return [
         ModelSpec(
             "Logistic Regression",
-            lambda y: LogisticRegression(labelCol=y, featuresCol="features", maxIter=2000),
+            lambda y, n: LogisticRegression(labelCol=y, featuresCol="features", maxIter=2000, regParam=1.0 / max(n, 1)),
             standardize=True,
         ),
         ModelSpec(
             "Random Forest (n=200)",
-            lambda y: RandomForestClassifier(
-                labelCol=y, featuresCol="features", numTrees=200, maxDepth=depth, seed=42
+            lambda y, n: RandomForestClassifier(
+                labelCol=y, featuresCol="features", numTrees=200, maxDepth=depth, seed=42, maxMemoryInMB=1024
             ),
         ),
-        ModelSpec("Gradient Boosting", lambda y: GBTClassifier(labelCol=y, featuresCol="features", seed=42)),
+        ModelSpec("Gradient Boosting", lambda y, n: GBTClassifier(labelCol=y, featuresCol="features", seed=42)),
     ]
 
 
@@ -71,12 +71,12 @@ class Ranking:
     failures: dict[str, str]
 
 
-def _pipeline(spec: ModelSpec, features: Sequence[str], label: str) -> Pipeline:
+def _pipeline(spec: ModelSpec, features: Sequence[str], label: str, rows: int) -> Pipeline:
     assembled = "raw_features" if spec.standardize else "features"
     stages = [VectorAssembler(inputCols=list(features), outputCol=assembled, handleInvalid="error")]
     if spec.standardize:
         stages.append(StandardScaler(inputCol=assembled, outputCol="features", withMean=False))
-    return Pipeline(stages=[*stages, spec.estimator(label)])
+    return Pipeline(stages=[*stages, spec.estimator(label, rows)])
 
 
 def train_or_load(
@@ -89,7 +89,7 @@ def train_or_load(
         path = f"{models_path}/{feature_name('model', spec.name)}-{digest}"
         if path_exists(train.sparkSession, f"{path}/metadata"):
             return PipelineModel.load(path), "Loaded"
-    model = _pipeline(spec, features, label).fit(train)
+    model = _pipeline(spec, features, label, train.count()).fit(train)
     if path:
         model.write().overwrite().save(path)
     return model, "Trained"

@@ -6,9 +6,10 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelens.operators.profiling import assess_numeric, describe_dataset, numeric_columns, numeric_statistics
-from ratelens.operators.star import Star
+from ratelens.operators.star import Star, date_dimension_of
 from ratelens.sources.readers import load_star, path_exists
 
 
@@ -39,17 +40,21 @@ def read_metadata(spark: SparkSession, path: str) -> dict:
 
 
 def save_star(star: Star, path: str) -> None:
-    """The star as Parquet, the fact clustered by user.
+    """The star as Parquet, the fact clustered by user, and a calendar of its days if the star has none.
 
-    Range partitions over user and title keep a user's ratings in neighbouring files, also when one
-    user holds a large share. Aggregation per user then mostly completes before the shuffle, and
-    queries for one user skip most files by their statistics.
+    Rebalancing by user brings a user's ratings into one file, splits users too large for one, and
+    merges small ones. Aggregation per user then mostly completes before its shuffle, and row groups
+    sorted by user are skipped by queries for one user.
     """
+    spark = star.fact.sparkSession
     star.dim_user.write.mode("overwrite").parquet(f"{path}/dim_user")
     star.dim_anime.write.mode("overwrite").parquet(f"{path}/dim_anime")
-    star.dim_date.write.mode("overwrite").parquet(f"{path}/dim_date")
-    clustered = star.fact.repartitionByRange("User_SK", "Anime_SK").sortWithinPartitions("User_SK", "Anime_SK")
+    clustered = star.fact.hint("rebalance", F.col("User_SK")).sortWithinPartitions("User_SK", "Anime_SK")
     clustered.write.mode("overwrite").parquet(f"{path}/fact_user_ratings")
+    dim_date = star.dim_date
+    if dim_date is None:
+        dim_date = date_dimension_of(spark.read.parquet(f"{path}/fact_user_ratings"))
+    dim_date.write.mode("overwrite").parquet(f"{path}/dim_date")
 
 
 def ensure_star(spark: SparkSession, path: str, build: Callable[[], Star]) -> Star:
