@@ -2,13 +2,15 @@
 
 Customers act as users, parts as titles and order lines as ratings. The views have the columns of the
 raw CSV inputs, including ISO date text, ``UNKNOWN`` scores and missing values, and so run through the
-same typing and key operators as real inputs.
+same typing and key operators as real inputs. Views and star are stored once per application in the
+shared folder.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,10 @@ from pyspark.sql import functions as F
 from ratelens.functions.vocabulary import AGE_RATINGS, GENRES, SOURCES, STUDIOS, TYPES
 from ratelens.operators.star import Star, build_star
 from ratelens.session import scratch_root
-from ratelens.sources.writers import ensure_star
+from ratelens.sources.writers import ensure_star, materialize
 
-_lock = threading.Lock()
+_lock = threading.RLock()
+_View = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -30,7 +33,7 @@ def _pick(values, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def raw_users(spark: SparkSession, directory: str) -> DataFrame:
+def _users_view(spark: SparkSession, directory: str) -> DataFrame:
     customer, nation = table(spark, directory, "customer"), table(spark, directory, "nation")
     first_order = table(spark, directory, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
     users = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(
@@ -65,7 +68,7 @@ def raw_users(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def raw_titles(spark: SparkSession, directory: str) -> DataFrame:
+def _titles_view(spark: SparkSession, directory: str) -> DataFrame:
     """One row per part with the columns of both title inputs."""
     key, size = F.col("p_partkey"), F.col("p_size")
     whole = lambda modulus: F.pmod(key, F.lit(modulus)).cast("int")
@@ -120,7 +123,7 @@ def raw_titles(spark: SparkSession, directory: str) -> DataFrame:
 _PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
-def raw_ratings(spark: SparkSession, directory: str) -> DataFrame:
+def _ratings_view(spark: SparkSession, directory: str) -> DataFrame:
     lines = table(spark, directory, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, directory, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -131,10 +134,31 @@ def raw_ratings(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def retail_star(spark: SparkSession, directory: str) -> Star:
-    """The star over the retail tables, stored once per application in the shared folder."""
+def _stored_path(spark: SparkSession, directory: str, name: str) -> str:
     digest = hashlib.md5(directory.encode()).hexdigest()
-    path = f"{scratch_root(spark)}/star-{digest}"
+    return f"{scratch_root(spark)}/retail-{digest}/{name}"
+
+
+def _stored_view(spark: SparkSession, directory: str, name: str, view: _View) -> DataFrame:
+    """A view stored on first use: the raw inputs are tables, not lineage to repeat in every query."""
+    with _lock:
+        return materialize(spark, _stored_path(spark, directory, name), lambda: view(spark, directory))
+
+
+def raw_users(spark: SparkSession, directory: str) -> DataFrame:
+    return _stored_view(spark, directory, "users", _users_view)
+
+
+def raw_titles(spark: SparkSession, directory: str) -> DataFrame:
+    return _stored_view(spark, directory, "titles", _titles_view)
+
+
+def raw_ratings(spark: SparkSession, directory: str) -> DataFrame:
+    return _stored_view(spark, directory, "ratings", _ratings_view)
+
+
+def retail_star(spark: SparkSession, directory: str) -> Star:
+    """The star over the retail tables, stored on first use."""
 
     def build() -> Star:
         return build_star(
@@ -142,4 +166,4 @@ def retail_star(spark: SparkSession, directory: str) -> Star:
         )
 
     with _lock:
-        return ensure_star(spark, path, build)
+        return ensure_star(spark, _stored_path(spark, directory, "star"), build)
