@@ -37,7 +37,8 @@ def dense_row_number(
 ) -> DataFrame:
     """1..n within each group in the given order, and optionally the group's size.
 
-    ``order_by`` must be a total order within a group, otherwise ties fall arbitrarily.
+    ``order_by`` must be a total order within a group, otherwise ties fall arbitrarily. It should name
+    columns: the sort would evaluate an expression again for every comparison.
     """
     rows = _store_sorted(df, partition_by, order_by)
     runs = rows.groupBy(_TASK, *partition_by).agg(F.count("*").alias("__rows"), F.min(_POS).alias("__first"))

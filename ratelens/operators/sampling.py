@@ -6,21 +6,45 @@ moves a row from one split to another.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.hashing import HASH_SPAN, seeded_hash
 from ratelens.operators.ranking import dense_row_number
+from ratelens.session import stored
+
+_HEAP_ROWS = 10_000  # up to here one task may order the sample
+
+
+def _hashed(df: DataFrame, key: str, seed: int) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its hash as a column, since a sort evaluates expressions again for every comparison."""
+    hashed = df.withColumn("__hash", seeded_hash(F.col(f"`{key}`"), seed))
+    return hashed, [F.col("__hash").asc(), F.col(f"`{key}`").asc()]
+
+
+def _lowest_hashes(hashed: DataFrame, n: int) -> DataFrame:
+    """A little more than the ``n`` rows of lowest hash, by a filter whose cut follows from the row count.
 
-_HEAP_ROWS = 10_000  # up to here every task can keep its best n rows in memory
+    Should the cut hold fewer than ``n`` rows, which six deviations make all but impossible, all rows
+    are returned, so that the sample stays exact.
+    """
+    total = hashed.count()
+    wanted = n + 6 * math.sqrt(n) + 10
+    if wanted >= total:
+        return hashed
+    lowest = stored(hashed.filter(F.col("__hash") < int(HASH_SPAN * wanted / total)), "sample")
+    return lowest if lowest.count() >= n else hashed
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by hash order of the unique ``key``."""
-    order = [seeded_hash(F.col(f"`{key}`"), seed).asc(), F.col(f"`{key}`").asc()]
+    """``n`` rows chosen by hash order of the unique ``key``; only about ``n`` rows are sorted."""
+    hashed, order = _hashed(df, key, seed)
+    lowest = _lowest_hashes(hashed, n)
     if n <= _HEAP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return dense_row_number(df, order, output="__rn").filter(F.col("__rn") <= n).drop("__rn")
+        return lowest.orderBy(*order).limit(n).drop("__hash")
+    return dense_row_number(lowest, order, output="__rn").filter(F.col("__rn") <= n).drop("__rn", "__hash")
 
 
 def random_split(
@@ -35,11 +59,13 @@ def stratified_split(
     df: DataFrame, key: str, label: str, train: float = 0.70, validation: float = 0.15, seed: int = 42
 ) -> DataFrame:
     """Adds ``split`` with exact shares inside every class: cut at int(n * share) in hash order."""
-    order = [seeded_hash(F.col(f"`{key}`"), seed).asc(), F.col(f"`{key}`").asc()]
-    numbered = dense_row_number(df, order, [label], output="__rn", group_size="__n")
+    hashed, order = _hashed(df, key, seed)
+    numbered = dense_row_number(hashed, order, [label], output="__rn", group_size="__n")
     first = F.floor(F.col("__n") * train)
     second = F.floor(F.col("__n") * (train + validation))
-    return numbered.withColumn("split", _label(F.col("__rn"), first, second, strict=False)).drop("__rn", "__n")
+    return numbered.withColumn("split", _label(F.col("__rn"), first, second, strict=False)).drop(
+        "__rn", "__n", "__hash"
+    )
 
 
 def _label(value: Column, first, second, strict: bool) -> Column:

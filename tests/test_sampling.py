@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from ratelens.functions.hashing import seeded_hash
 from ratelens.operators import sampling
 
 
@@ -54,6 +55,15 @@ def test_sample_has_n_rows_by_either_way(labelled, monkeypatch):
     assert sampling.seeded_sample(labelled, 5000, "id").count() == 1000
 
 
+def test_sample_equals_the_full_order(labelled, monkeypatch):
+    ordered = sorted((r.h, r.id) for r in labelled.select(seeded_hash(F.col("id")).alias("h"), "id").collect())
+    for n in (0, 1, 10, 100):
+        got = {r.id for r in sampling.seeded_sample(labelled, n, "id").collect()}
+        assert got == {i for _, i in ordered[:n]}
+    monkeypatch.setattr(sampling.math, "sqrt", lambda n: -n / 6)  # a cut that holds too few rows
+    assert {r.id for r in sampling.seeded_sample(labelled, 100, "id").collect()} == {i for _, i in ordered[:100]}
+
+
 def test_report_shares(labelled):
     report = sampling.split_report(sampling.stratified_split(labelled, "id", "label"))
     assert {r.split: r.share for r in report.collect()} == {"train": 0.699, "validation": 0.151, "test": 0.15}
