@@ -121,7 +121,8 @@ def _raw(query: str, more: str = "") -> str:
     return f"WITH {RAW}{more}\n{query}"
 
 
-_DIM_USER = """SELECT User_SK, User_ID, Username, Gender, Birthday, Location, Joined_Date,
+_DIM_USER = """SELECT User_SK, User_ID, Username, Gender, CAST(Birthday AS VARCHAR) AS Birthday, Location,
+  CAST(Joined_Date AS VARCHAR) AS Joined_Date,
   round(User_Mean_Score, 6) AS User_Mean_Score, User_Total_Completed, User_Watching, User_On_Hold,
   User_Dropped, User_Plan_to_Watch, User_Total_Entries, round(User_Days_Watched, 6) AS User_Days_Watched,
   User_Episodes_Watched FROM dim_user"""
@@ -193,7 +194,7 @@ FROM ({_QUINTILES}) GROUP BY quintile""",
 FROM dim_user, (SELECT quantile_disc(User_Total_Completed, [0.2, 0.4, 0.6, 0.8]) AS cuts FROM dim_user)""",
     "studio_high_score": """SELECT Anime_SK, Anime_ID, Name, Type, Studios, Avg_Score, Popularity_Rank FROM dim_anime
 WHERE contains(Studios, 'Sunrise') AND Avg_Score > 8.5""",
-    "recent_users_in_location": """SELECT User_SK, User_ID, Username, Joined_Date, Location FROM dim_user
+    "recent_users_in_location": """SELECT User_SK, User_ID, Username, CAST(Joined_Date AS VARCHAR) AS Joined_Date, Location FROM dim_user
 WHERE Location = 'USA' AND Joined_Date > DATE '1995-06-01'""",
     "count_category_short": """SELECT count(*) AS total_anime_r17_lt10 FROM dim_anime
 WHERE starts_with(Age_Rating, 'R - 17+') AND Episodes < 10""",
@@ -395,7 +396,8 @@ FROM (SELECT user_id, gender AS Gender, count(*) OVER (PARTITION BY gender) AS n
         row_number() OVER (PARTITION BY gender ORDER BY {_HASH}, user_id) AS rn
       FROM raw_users WHERE gender IS NOT NULL)"""
 
-_LEFT_TITLES = """SELECT r.*, t.type AS Type, t.genres AS Genres
+_DAY = "CAST(rated_on AS VARCHAR) AS rated_on"
+_LEFT_TITLES = """SELECT r.* REPLACE (CAST(r.rated_on AS VARCHAR) AS rated_on), t.type AS Type, t.genres AS Genres
 FROM raw_ratings r LEFT JOIN (SELECT * FROM raw_titles WHERE type IS NOT NULL) t USING (anime_id)"""
 
 
@@ -405,14 +407,15 @@ def oracles() -> dict[str, str]:
     sql |= {
         "dim_user": _star(_DIM_USER),
         "dim_item": _star("SELECT * FROM dim_anime"),
-        "dim_date": _star("SELECT * FROM dim_date"),
+        "dim_date": _star("SELECT * REPLACE (CAST(Full_Date AS VARCHAR) AS Full_Date) FROM dim_date"),
         "fact_rating": _star("SELECT * REPLACE (round(Rating_Deviation, 6) AS Rating_Deviation) FROM fact"),
         "csv_roundtrip": _raw(
             "SELECT anime_id, name AS Name, genres AS Genres, score AS Score, members AS Members FROM raw_titles"
         ),
-        "parquet_roundtrip": _raw("SELECT * FROM raw_ratings"),
+        "parquet_roundtrip": _raw(f"SELECT * REPLACE ({_DAY}) FROM raw_ratings"),
         "ratings_of_known_users": _raw(
-            "SELECT * FROM raw_ratings WHERE user_id IN (SELECT user_id FROM raw_users WHERE gender = 'Female')"
+            f"SELECT * REPLACE ({_DAY}) FROM raw_ratings "
+            "WHERE user_id IN (SELECT user_id FROM raw_users WHERE gender = 'Female')"
         ),
         "ratings_left_items": _raw(_LEFT_TITLES),
         "dataset_info": _star(_info("dim_anime", _ANIME_TYPES, False)),

@@ -35,10 +35,14 @@ CLASS_FEATURES = tuple(c for c in feature_plans.classification_columns() if not
 MIN_RATINGS = 10
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, because sums of doubles depend on the order of addition."""
+def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded, because their sums depend on the order of addition, and dates as ISO text."""
+    shown = {
+        "double": lambda c: F.round(c, digits),
+        "date": lambda c: c.cast("string"),
+    }
     return df.select(
-        *[F.round(F.col(f"`{n}`"), digits).alias(n) if kind == "double" else F.col(f"`{n}`") for n, kind in df.dtypes]
+        *[shown.get(kind, lambda c: c)(F.col(f"`{name}`")).alias(name) for name, kind in df.dtypes]
     )
 
 
@@ -47,11 +51,11 @@ def _users(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _business(name: str) -> Query:
-    return lambda spark, directory: rounded(QUERIES[name](retail_star(spark, directory), **PARAMETERS.get(name, {})))
+    return lambda spark, directory: comparable(QUERIES[name](retail_star(spark, directory), **PARAMETERS.get(name, {})))
 
 
 def _star_table(name: str) -> Query:
-    return lambda spark, directory: rounded(getattr(retail_star(spark, directory), name))
+    return lambda spark, directory: comparable(getattr(retail_star(spark, directory), name))
 
 
 def _title_text(spark: SparkSession, directory: str) -> DataFrame:
@@ -68,17 +72,17 @@ def csv_roundtrip(spark, directory):
 def parquet_roundtrip(spark, directory):
     path = scratch_path(spark, "ratings")
     writers.write_dataset(raw_ratings(spark, directory), f"{path}/ratings", "parquet")
-    return readers.load_split(spark, path, "ratings")
+    return comparable(readers.load_split(spark, path, "ratings"))
 
 
 def known_users(spark, directory):
     women = _users(spark, directory).filter(F.col("Gender") == "Female")
-    return readers.ratings_of_known_users(raw_ratings(spark, directory), women)
+    return comparable(readers.ratings_of_known_users(raw_ratings(spark, directory), women))
 
 
 def left_titles(spark, directory):
     typed = raw_titles(spark, directory).filter(F.col("Type").isNotNull()).select("anime_id", "Type", "Genres")
-    return behaviour.ratings_with_titles(raw_ratings(spark, directory), typed)
+    return comparable(behaviour.ratings_with_titles(raw_ratings(spark, directory), typed))
 
 
 def category_onehot(spark, directory):
@@ -108,7 +112,7 @@ def minmax_scale(spark, directory):
     titles = raw_titles(spark, directory).select("anime_id", *SCALED)
     outputs = [f"{c.lower()}_normalized" for c in SCALED]
     scaled = scaling.scale(titles, SCALED, outputs, scaling.fit_columns(titles, bounds=SCALED))
-    return rounded(scaled.select("anime_id", *outputs))
+    return comparable(scaled.select("anime_id", *outputs))
 
 
 def regression_features(spark, directory):
@@ -202,13 +206,13 @@ def registered() -> dict[str, Query]:
     }
     profiles = {
         "dataset_info": lambda s, d: profiling.dataset_info(retail_star(s, d).dim_anime),
-        "dataset_description": lambda s, d: rounded(profiling.describe_dataset(retail_star(s, d).dim_user)),
-        "dataset_sample": lambda s, d: rounded(profiling.sample_rows(retail_star(s, d).dim_user, [F.asc("User_SK")])),
-        "numeric_stats": lambda s, d: rounded(profiling.numeric_statistics(retail_star(s, d).fact)),
-        "numeric_assessment": lambda s, d: rounded(
+        "dataset_description": lambda s, d: comparable(profiling.describe_dataset(retail_star(s, d).dim_user)),
+        "dataset_sample": lambda s, d: comparable(profiling.sample_rows(retail_star(s, d).dim_user, [F.asc("User_SK")])),
+        "numeric_stats": lambda s, d: comparable(profiling.numeric_statistics(retail_star(s, d).fact)),
+        "numeric_assessment": lambda s, d: comparable(
             profiling.assess_numeric(profiling.numeric_statistics(retail_star(s, d).dim_anime, PROFILED))
         ),
-        "quality_report": lambda s, d: rounded(
+        "quality_report": lambda s, d: comparable(
             profiling.quality_report(left_titles(s, d).select("user_id", "anime_id", "rating", "Type"))
         ),
     }
@@ -238,20 +242,20 @@ def registered() -> dict[str, Query]:
         "minmax_scale": minmax_scale,
     }
     tables = {
-        "regression_features": lambda s, d: rounded(regression_features(s, d)),
-        "user_features": lambda s, d: rounded(user_features(s, d)),
-        "user_features_compact": lambda s, d: rounded(user_features_compact(s, d)),
-        "user_features_derived": lambda s, d: rounded(classification_features(s, d)),
+        "regression_features": lambda s, d: comparable(regression_features(s, d)),
+        "user_features": lambda s, d: comparable(user_features(s, d)),
+        "user_features_compact": lambda s, d: comparable(user_features_compact(s, d)),
+        "user_features_derived": lambda s, d: comparable(classification_features(s, d)),
         "user_sample": user_sample,
         "split_random": split_random,
         "split_stratified": split_stratified,
-        "split_report": lambda s, d: rounded(sampling.split_report(split_random(s, d))),
+        "split_report": lambda s, d: comparable(sampling.split_report(split_random(s, d))),
         "class_balance": lambda s, d: sampling.class_balance(split_stratified(s, d), "Gender", "split"),
-        "feature_target_corr": lambda s, d: rounded(feature_target_corr(s, d)),
-        "target_distribution": lambda s, d: rounded(
+        "feature_target_corr": lambda s, d: comparable(feature_target_corr(s, d)),
+        "target_distribution": lambda s, d: comparable(
             statistics.target_distribution(feature_plans.extract_numbers(raw_titles(s, d)), "Score")
         ),
-        "class_feature_means": lambda s, d: rounded(class_feature_means(s, d), 5),
+        "class_feature_means": lambda s, d: comparable(class_feature_means(s, d), 5),
         "title_collapse": title_collapse,
     }
     models = {

@@ -40,14 +40,18 @@ def ratings_with_titles(ratings: DataFrame, titles: DataFrame, key: str = "anime
 
 
 def user_behaviour(
-    ratings: DataFrame, titles: DataFrame, vocabulary: BehaviourVocabulary = FULL_VOCABULARY
+    ratings: DataFrame,
+    titles: DataFrame,
+    vocabulary: BehaviourVocabulary = FULL_VOCABULARY,
+    approximate_titles: bool = False,
 ) -> DataFrame:
     """Rating statistics, genre and type counts and per-type averages of every user.
 
     Genre tests run once per title, not once per rating; one conditional aggregation then replaces a
     join per feature. Distinct titles are counted beside it on two narrow columns, since a distinct
     inside the wide aggregation would shuffle the wide buffers once per rating. Both aggregates are
-    partitioned by user, so joining them needs no further shuffle.
+    partitioned by user, so joining them needs no further shuffle. ``approximate_titles`` counts them by
+    a sketch within the one aggregation instead.
     """
     genres = list_indicators(F.col("Genres"), vocabulary.genres, "genre_count", ignore_case=vocabulary.ignore_case)
     types = category_indicators(F.col("Type"), vocabulary.types, "type_count")
@@ -57,6 +61,7 @@ def user_behaviour(
     score = F.col("rating")
 
     rated = ratings_with_titles(ratings.select("user_id", "anime_id", "rating"), encoded)
+    sketch = [F.approx_count_distinct("anime_id").alias("unique_anime_count")] if approximate_titles else []
     stats = rated.groupBy("user_id").agg(
         F.count("*").alias("total_ratings"),
         F.avg(score).alias("avg_rating"),
@@ -68,7 +73,10 @@ def user_behaviour(
             F.avg(F.when(F.col(name) == 1, score)).alias(feature_name("avg_rating", t))
             for name, t in zip(type_names, vocabulary.types)
         ],
+        *sketch,
     )
+    if approximate_titles:
+        return stats
     titles_per_user = (
         ratings.select("user_id", "anime_id")
         .distinct()

@@ -101,6 +101,13 @@ def test_repeated_titles_and_single_ratings(spark, titles):
     assert "genre_count_isekai" not in got[1].asDict()
 
 
+def test_titles_counted_by_a_sketch(ratings, titles):
+    exact, sketch = behaviour.user_behaviour(ratings, titles), behaviour.user_behaviour(
+        ratings, titles, approximate_titles=True
+    )
+    assert sketch.select(exact.columns).exceptAll(exact).isEmpty()  # a sketch is exact for a few titles
+
+
 def test_classification_table(ratings, rating_users, titles):
     selection = features.UserSelection(min_ratings=3)
     table = features.classification_features(ratings, rating_users, titles, selection)
