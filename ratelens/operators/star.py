@@ -52,6 +52,20 @@ TITLE_COLUMNS = (
 )
 
 
+def _schema(key: str, mapping) -> str:
+    return ", ".join([f"{key} bigint", *[f"{name} {kind}" for _, name, kind in mapping]])
+
+
+STAR_SCHEMAS = {
+    "dim_user": _schema("User_SK", USER_COLUMNS),
+    "dim_anime": _schema("Anime_SK", TITLE_COLUMNS),
+    "dim_date": "Date_SK int, Full_Date date, Year int, Quarter int, Month int, Month_Name string, "
+    "Day_of_Week string, Is_Weekend boolean",
+    "fact_user_ratings": "User_SK bigint, Anime_SK bigint, Date_SK int, User_Rating int, Rating_Deviation double, "
+    "Is_Above_Average int, Is_High_Rating int, Is_Low_Rating int, Rating_Count int",
+}
+
+
 class Star(NamedTuple):
     dim_user: DataFrame
     dim_anime: DataFrame

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.functions.casting import typed
-from ratelens.operators.star import Star
-
-STAR_TABLES = ("dim_user", "dim_anime", "dim_date", "fact_user_ratings")
+from ratelens.operators.star import STAR_SCHEMAS, Star
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -74,8 +72,8 @@ def read_csv(
 
 
 def load_star(spark: SparkSession, path: str) -> Star:
-    """The four star tables written by ``save_star``."""
-    return Star(*[spark.read.parquet(f"{path}/{name}") for name in STAR_TABLES])
+    """The four star tables written by ``save_star``, with their declared schemas."""
+    return Star(*[spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in STAR_SCHEMAS.items()])
 
 
 def load_split(

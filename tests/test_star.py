@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ratelens.operators.star import build_star, date_dimension, date_dimension_of, ratings_fact
+from ratelens.operators.star import STAR_SCHEMAS, build_star, date_dimension, date_dimension_of, ratings_fact
 from ratelens.sources.readers import load_star
 from ratelens.sources.writers import ensure_star, save_star
 
@@ -81,6 +81,13 @@ def test_saved_star_is_reused_without_building(spark, users, titles, ratings, tm
     assert second.dim_date.count() == (1 if dated else 9497)
 
 
+def test_declared_schemas_are_those_written(spark, star, tmp_path):
+    path = str(tmp_path / "star")
+    save_star(star, path)
+    for (name, schema), loaded in zip(STAR_SCHEMAS.items(), load_star(spark, path)):
+        assert loaded.dtypes == spark.read.parquet(f"{path}/{name}").dtypes, name
+
+
 def test_unfinished_output_is_built_again(spark, star, tmp_path):
     path = str(tmp_path / "star")
     save_star(star, path)  # without the mark of a finished star
