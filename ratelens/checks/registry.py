@@ -16,7 +16,7 @@ from ratelens.plans import training
 from ratelens.plans.business import QUERIES
 from ratelens.session import scratch_path
 from ratelens.sources import readers, writers
-from ratelens.sources.retail import raw_ratings, raw_titles, raw_users, retail_star
+from ratelens.sources.retail import raw_ratings, raw_titles, raw_users, retail_star, stored_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,7 +174,7 @@ def _trained_regression(spark, directory):
     )
     train, test = (stored.filter(F.col("split") == s) for s in ("train", "test"))
     names = feature_plans.feature_columns(stored, (*feature_plans.REGRESSION_IDS, "split"))
-    return training.rank_regressors(train, test, names)
+    return training.rank_regressors(train, test, names, models_path=stored_path(spark, directory, "models"))
 
 
 def _trained_classification(spark, directory):
@@ -186,7 +186,7 @@ def _trained_classification(spark, directory):
     )
     train, test = (stored.filter(F.col("split") == s) for s in ("train", "test"))
     names = feature_plans.feature_columns(stored, (*feature_plans.CLASSIFICATION_IDS, "split"))
-    return training.rank_classifiers(train, test, names)
+    return training.rank_classifiers(train, test, names, models_path=stored_path(spark, directory, "models"))
 
 
 def classification_report(spark, directory):

@@ -16,7 +16,7 @@ from ratelens.operators.star import STAR_SCHEMAS, Star
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark can resolve the path; no job is run."""
     try:
-        spark.read.text(path)
+        spark.read.text([path, path])  # a single path would also be probed for a streaming log, with a warning
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False

@@ -134,7 +134,8 @@ def _ratings_view(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def _stored_path(spark: SparkSession, directory: str, name: str) -> str:
+def stored_path(spark: SparkSession, directory: str, name: str) -> str:
+    """Where this application keeps what it derived from the tables of a directory."""
     digest = hashlib.md5(directory.encode()).hexdigest()
     return f"{scratch_root(spark)}/retail-{digest}/{name}"
 
@@ -142,7 +143,7 @@ def _stored_path(spark: SparkSession, directory: str, name: str) -> str:
 def _stored_view(spark: SparkSession, directory: str, name: str, view: _View) -> DataFrame:
     """A view stored on first use: the raw inputs are tables, not lineage to repeat in every query."""
     with _lock:
-        return materialize(spark, _stored_path(spark, directory, name), lambda: view(spark, directory))
+        return materialize(spark, stored_path(spark, directory, name), lambda: view(spark, directory))
 
 
 def raw_users(spark: SparkSession, directory: str) -> DataFrame:
@@ -166,4 +167,4 @@ def retail_star(spark: SparkSession, directory: str) -> Star:
         )
 
     with _lock:
-        return ensure_star(spark, _stored_path(spark, directory, "star"), build)
+        return ensure_star(spark, stored_path(spark, directory, "star"), build)
