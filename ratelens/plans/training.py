@@ -48,7 +48,10 @@ def classification_models(depth: int = 10) -> list[ModelSpec]:
     return [
         ModelSpec(
             "Logistic Regression",
-            lambda y, n: LogisticRegression(labelCol=y, featuresCol="features", maxIter=2000, regParam=1.0 / max(n, 1)),
+            # The loss is averaged over rows here, so 1 / n is a penalty of unit strength.
+            lambda y, n: LogisticRegression(
+                labelCol=y, featuresCol="features", maxIter=2000, regParam=1.0 / max(n, 1), tol=1e-4
+            ),
             standardize=True,
         ),
         ModelSpec(
