@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +127,6 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     return [emails, ips, cards, phones]
 
 
-@lru_cache(maxsize=1 << 16)
 def shape(word: str) -> tuple[str, ...]:
     """Features of a word: its shape with runs collapsed, digit count, parts and marks."""
     core = word.strip(_EDGES)
@@ -225,7 +223,7 @@ class Tagger:
             for run in signal_runs(text):
                 words = [text[s:e] for s, e in run]
                 cue = _before(text, run[0][0])
-                rows = np.zeros((len(words), OTHER + 1))
+                rows = np.empty((len(words), OTHER + 1))
                 for at in range(len(words)):
                     known = [n for n in map(get, item_features(words, at, cue)) if n is not None]
                     rows[at] = chain.weights[known].sum(axis=0)
