@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from ratelens.session import stored
 #: Fixed value: a word is a run of bytes other than the space and U+0009 to U+000D; ``bytes.split()`` cuts there.
 WORD = r"[^\x20\x09-\x0D]+"
 
+SLICE_BYTES = 1 << 20
+
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
@@ -39,13 +43,28 @@ def one_per_key(keyed: DataFrame) -> DataFrame:
     return keyed.withColumn("__nth", F.row_number().over(once)).filter("__nth = 1").drop("__nth")
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``function`` over the Arrow batches of ``df``, which Spark bounds by rows and bytes."""
+def slices(batch: pa.RecordBatch, text_col: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with about ``limit`` bytes of text, at least one row each.
+
+    An Arrow batch may hold 64 MB of text, of which lists of words would be many times as large.
+    """
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(lengths.astype(np.int64)) // limit
+    cuts = [0, *(np.nonzero(np.diff(run))[0] + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema, text_col: str = "text"
+) -> DataFrame:
+    """``function`` over slices of the Arrow batches of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            for part in slices(batch, text_col):
+                yield function(part)
 
     return df.mapInArrow(run, schema)
 

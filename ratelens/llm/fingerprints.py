@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import id_and_text, store
+from ratelens.llm.common import id_and_text, slices, store
 
 #: Two primes below 2^31: a sum of 2^32 terms below 2^31 stays below 2^63.
 PRIMES = (2_147_483_647, 2_147_483_629)
@@ -192,7 +192,7 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lengths = Lengths()
         part = TaskContext.get().partitionId()
         held = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 points = code_points(text)

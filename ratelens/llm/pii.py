@@ -361,4 +361,4 @@ def mask_personal_data(df: DataFrame, tagger: Tagger, text_col: str = "text", le
             columns[names.index(length_col)] = pa.array([b if t is None else len(t) for t, b in zip(clean, before)], kind)
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(df, run, df.schema)
+    return map_batches(df, run, df.schema, text_col)

@@ -184,12 +184,10 @@ def quality(
         return out
 
     if keep:
-        def passing(batches):
-            for batch in batches:
-                kept = [v[6] for v in verdicts([t or "" for t in texts(batch, text_col)])]
-                yield batch.filter(pa.array(kept, pa.bool_()))
+        def passing(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([v[6] for v in verdicts([t or "" for t in texts(batch, text_col)])], pa.bool_()))
 
-        return df.mapInArrow(passing, df.schema)
+        return map_batches(df, passing, df.schema, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = list(zip(*verdicts(texts(batch))))
