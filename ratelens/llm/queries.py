@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import fingerprints, mixing, packing, pii, quality, simhash
+from ratelens.llm import fingerprints, lm, mixing, packing, pii, quality, simhash, tokens, urls, warc
 from ratelens.llm.common import table
+from ratelens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,18 +18,31 @@ def op1_fingerprint_edits(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_arc_to_warc(spark: SparkSession, directory: str) -> DataFrame:
+    read = warc.archive(table(spark, directory, "pages"), scratch_path(spark, "archives"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_line_quality(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
     chain = quality.fit_lines(documents, table(spark, directory, "labels"))
     return quality.quality(documents, chain).withColumnRenamed("id", "doc_id")
 
 
+def op4_maxent_scores(spark: SparkSession, directory: str) -> DataFrame:
+    return lm.scores(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_simhash_groups(spark: SparkSession, directory: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, directory, "documents"))
     printed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select(F.col("id").alias("doc_id"), printed.alias("fingerprint"), "component_id")
 
 
+def op6_url_verdicts(spark: SparkSession, directory: str) -> DataFrame:
+    return urls.judge_urls(table(spark, directory, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op7_conflict_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -39,6 +53,10 @@ def op8_source_mix(spark: SparkSession, directory: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
+def op9_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return tokens.token_counts(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
     return pii.personal_data(table(spark, directory, "documents"), pii.fit_tagger()).withColumnRenamed("id", "doc_id")
 
@@ -52,14 +70,36 @@ def pipeline(spark: SparkSession, directory: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_fingerprint_edits": op1_fingerprint_edits,
+        "op2_arc_to_warc": op2_arc_to_warc,
         "op3_line_quality": op3_line_quality,
+        "op4_maxent_scores": op4_maxent_scores,
         "op5_simhash_groups": op5_simhash_groups,
+        "op6_url_verdicts": op6_url_verdicts,
         "op7_conflict_packing": op7_conflict_packing,
         "op8_source_mix": op8_source_mix,
+        "op9_token_counts": op9_token_counts,
         "op10_personal_data": op10_personal_data,
         "pipeline": pipeline,
     }
 
 
+#: RFC 4648 base32 of a SHA-1 in hex: four digits for each five of the forty.
+_OP2 = """
+WITH paid AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), named AS (
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+        max(page_id) OVER (PARTITION BY payload) AS largest
+    FROM paid
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < largest THEN largest END AS refers_to
+FROM named
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_arc_to_warc": _OP2}
