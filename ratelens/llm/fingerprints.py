@@ -16,6 +16,7 @@ from ratelens.llm.common import id_and_text, slices, store
 #: Two primes below 2^31: a sum of 2^32 terms below 2^31 stays below 2^63.
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_664_525)
+ENTRY, ENTRY_BYTES = 0xFFFFFF, 3  # bits that a grid length's hash keeps in a fingerprint
 GRID_STEP = 8  # a grid length is at most 1/8 above the one before it
 
 
@@ -103,13 +104,20 @@ class Print:
         lengths = lengths[: np.searchsorted(lengths, self.n)]
         zero = np.zeros(len(lengths), np.int64)
         self.whole = hashed.span(0, self.n)
-        self.prefixes = (hashed.spans(zero, lengths) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        self.suffixes = (hashed.spans(self.n - lengths, np.full(len(lengths), self.n)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.prefixes = (hashed.spans(zero, lengths) & np.uint64(ENTRY)).astype(np.uint32)
+        self.suffixes = (hashed.spans(self.n - lengths, np.full(len(lengths), self.n)) & np.uint64(ENTRY)).astype(np.uint32)
 
     def data(self) -> bytes:
         """The fingerprint as bytes: length, hash, prefixes, suffixes."""
         head = self.n.to_bytes(8, "big") + self.whole.to_bytes(8, "big")
-        return head + self.prefixes.astype(">u4").tobytes() + self.suffixes.astype(">u4").tobytes()
+        return head + _entries(self.prefixes) + _entries(self.suffixes)
+
+
+_HEAD = 16
+
+
+def _entries(hashes: np.ndarray) -> bytes:
+    return hashes.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - ENTRY_BYTES :].tobytes()
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> int:
@@ -156,8 +164,10 @@ class Lengths:
 
 
 _OUT = (
-    "n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+    "n_chars bigint, edited_sha256 string, fingerprint binary, edited_head binary, edited_kept int, edited_rest binary, "
+    "near_edited double, near_next double"
 )
+_WIDTH = len(_OUT.split(", "))
 
 
 def _compared(points: np.ndarray, own: Print, following: np.ndarray, other: Print, lengths: Lengths):
@@ -168,8 +178,12 @@ def _compared(points: np.ndarray, own: Print, following: np.ndarray, other: Prin
         changed_print = Print(changed, lengths.upto(len(changed)))
     digest = hashlib.sha256(changed.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"))
     known = lengths.upto(max(own.n, changed_print.n, other.n))
+    # Both have the prefixes up to the cut, which are stored once.
+    kept = int(np.searchsorted(known, len(points) - len(points) // 3, "right"))
+    kept = min(kept, len(own.prefixes), len(changed_print.prefixes)) * ENTRY_BYTES
+    data = changed_print.data()
     return (
-        own.n, digest.hexdigest(), own.data(), changed_print.data(), likeness(own, changed_print, known),
+        own.n, digest.hexdigest(), own.data(), data[:_HEAD], kept, data[_HEAD + kept :], likeness(own, changed_print, known),
         likeness(own, other, known),
     )
 
@@ -186,7 +200,7 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = id_and_text(df, id_col, text_col)
     kind = source.schema["id"].dataType.simpleString()
     order = [F.col("id").desc_nulls_last(), F.col("digest").asc()]
-    placed = source.withColumn("digest", F.md5(F.encode("text", "utf-8"))).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = source.withColumn("digest", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = Lengths()
@@ -198,13 +212,13 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 points = code_points(text)
                 own = Print(points, lengths.upto(len(points)))
                 if held is None:
-                    rows.append((key, *[None] * 6, "head", part, text))
+                    rows.append((key, *[None] * _WIDTH, "head", part, text))
                 else:
                     rows.append((held[0], *_compared(*held[2:], points, own, lengths), "done", part, None))
                 held = (key, text, points, own)
             yield _batch(rows, batch.schema.field("id").type)
         if held is not None:
-            yield _batch([(held[0], *[None] * 6, "tail", part, held[1])], batch.schema.field("id").type)
+            yield _batch([(held[0], *[None] * _WIDTH, "tail", part, held[1])], batch.schema.field("id").type)
 
     streamed = store(
         placed.select("id", "text").mapInArrow(run, f"id {kind}, {_OUT}, role string, part int, text string"), "print-rows"
@@ -227,16 +241,20 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 points, other = code_points(text), code_points(other)
                 own, far = Print(points, lengths.upto(len(points))), Print(other, lengths.upto(len(other)))
                 rows.append((key, *_compared(points, own, other, far, lengths), None, None, None))
-            yield _batch(rows, batch.schema.field("id").type).select(list(range(7)))
+            yield _batch(rows, batch.schema.field("id").type).select(list(range(_WIDTH + 1)))
 
     columns = ["id", *[c.split()[0] for c in _OUT.split(", ")]]
     done = streamed.filter("role = 'done'").select(*columns)
     both = done.unionByName(waiting.mapInArrow(finish, f"id {kind}, {_OUT}"))
-    return both.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+    kept = F.substring("fingerprint", F.lit(_HEAD + 1), F.col("edited_kept"))
+    return both.select(
+        "id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex(F.concat("edited_head", kept, "edited_rest"))).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
 
 
 def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     names = ["id", *[c.split()[0] for c in _OUT.split(", ")], "role", "part", "text"]
-    kinds = [kind, pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.int32(), pa.string()]
+    kinds = [kind, pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.int32(), pa.string()]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
