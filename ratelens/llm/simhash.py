@@ -16,6 +16,7 @@ SEED = 42
 #: Near-duplicate removal: five-word shingles, likeness 0.8, four 64-bit words. At likeness 0.8 a bit differs with
 #: probability acos(0.8 / 0.9) / pi = 0.151, so 38.8 of 256 with deviation 5.7; 56 is three deviations above.
 SHINGLE, LIKENESS, WORDS, RADIUS = 5, 0.8, 4, 56
+LAYERS = 8
 _SUMMED = 255  # rows whose bits add up in one byte
 
 
@@ -127,7 +128,7 @@ def _profiles(df: DataFrame, size: int, words: int) -> DataFrame:
 
 def _confirmed(links: DataFrame, members: DataFrame, size: int, likeness: float) -> DataFrame:
     """Those links whose shingle sets have at least that Jaccard likeness; ``members`` is (node, text)."""
-    ends = links.select("src", "dst", F.explode(F.array("src", "dst")).alias("node"))
+    ends = links.select("src", "dst").distinct().select("src", "dst", F.explode(F.array("src", "dst")).alias("node"))
     sets = ends.join(members, "node").select("src", "dst", "text")
 
     def run(group: pa.Table) -> pa.Table:
@@ -152,8 +153,9 @@ def drop_near_duplicates(
 
     Texts with equal shingle sets are one class. Classes link if their fingerprints (``words`` times 64 bits)
     differ in at most ``radius`` bits, their numbers of shingles allow the likeness, and their shingle sets have
-    it; a group is what links connect. Links are confirmed along each group's minimum spanning forest, nearest
-    first. Texts without words are one group; so are repeated rows. A null id sorts before others. Columns are
+    it; a group is what links connect. Links are confirmed nearest first, in LAYERS layers of spanning forests, the
+    later ones only between what the first has left apart: all links of a group of up to LAYERS + 1 classes, and of
+    larger ones the LAYERS nearest across any cut. Texts without words are one group; so are repeated rows. A null id sorts before others. Columns are
     those of ``df``; an empty table stays empty.
     """
     keyed = row_keys(df, id_col, text_col)
@@ -167,13 +169,18 @@ def drop_near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
-    # Three steps below need the links, so they are stored; a group's forest has fewer links than classes.
-    links = store(tiled_links(classes, prints, radius, likeness).select("src", "dst").distinct(), "near-links")
+    links = store(tiled_links(classes, prints, radius, likeness, count=LAYERS).select("src", "dst", "layer"), "near-links")
     linked = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     heads = linked.join(classes, "node").select("node", F.col("first.id").alias("id"), F.col("first.digest").alias("digest"))
     same = source["id"].eqNullSafe(heads["id"]) & (source["digest"] == heads["digest"])
     members = source.join(heads, same).select("node", "text").dropDuplicates(["node"])
-    roots = components(_confirmed(links, members, size, likeness))
+    nearest = store(_confirmed(links.filter("layer = 1"), members, size, likeness), "near-confirmed")
+    roots = components(nearest)
+    src, dst = (roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in ("src", "dst"))
+    others = links.filter("layer > 1").join(src, "src", "left").join(dst, "dst", "left")
+    apart = F.coalesce("src_root", "src") != F.coalesce("dst_root", "dst")
+    more = store(_confirmed(others.filter(apart), members, size, likeness), "near-confirmed-more")
+    roots = components(nearest.union(more))
     kept = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = kept.groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.id").alias("__kept_id"), F.col("first.digest").alias("__kept_digest"))

@@ -18,29 +18,41 @@ _MANY = 1_000_000  # links held before they are thinned to a forest
 _SIZE_STEP = 0.05
 
 
-def forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
-    """Indices of a minimum spanning forest of the links ``a[i]`` - ``b[i]``, nearest first (Kruskal)."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        top = x
-        while (up := parent.get(top, top)) != top:
-            top = up
-        while x != top:
-            parent[x], x = top, parent.get(x, x)
-        return top
-
-    kept = []
-    order = np.lexsort((b, a, distance))
-    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
-        if (x := root(x)) != (y := root(y)):
-            parent[max(x, y)] = min(x, y)
-            kept.append(i)
-    return np.asarray(kept, dtype=np.int64)
-
-
-def compare(left, right, radius: int, ratio: float | None, same: bool):
-    """Forest of the links between two tiles: arrays of both nodes and the number of differing bits.
+def layers(a: np.ndarray, b: np.ndarray, distance: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of some links ``a[i]`` - ``b[i]`` and the layer of each: 1 for a minimum spanning forest of the links
+    (Kruskal, nearest first), 2 for one of the links that are left, and so on up to ``count``.
+
+    Of the links across any cut the nearest ``count`` are kept, so there are at most that many for each node, and a
+    group of ``count + 1`` nodes or fewer keeps them all.
+    """
+    left = np.lexsort((b, a, distance))
+    kept, layer = [], []
+    for number in range(1, count + 1):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (up := parent.get(top, top)) != top:
+                top = up
+            while x != top:
+                parent[x], x = top, parent.get(x, x)
+            return top
+
+        own = np.zeros(len(left), bool)
+        for k, (x, y) in enumerate(zip(a[left].tolist(), b[left].tolist())):
+            if (x := root(x)) != (y := root(y)):
+                parent[max(x, y)] = min(x, y)
+                own[k] = True
+        kept.append(left[own])
+        layer.append(np.full(int(own.sum()), number, np.int32))
+        left = left[~own]
+        if not len(left):
+            break
+    return np.concatenate(kept), np.concatenate(layer)
+
+
+def compare(left, right, radius: int, ratio: float | None, same: bool, count: int = 1):
+    """Layers of the links between two tiles: arrays of both nodes, the number of differing bits, and the layer.
 
     A tile is (nodes, words, sizes); words has a row for each fingerprint, as 64-bit words. Two rows link if
     at most ``radius`` bits differ and, with a ``ratio``, the smaller size is at least that share of the larger.
@@ -52,8 +64,8 @@ def compare(left, right, radius: int, ratio: float | None, same: bool):
 
     def thinned():
         a, b, d = (np.concatenate(x) for x in zip(*parts))
-        keep = forest(a, b, d)
-        return [(a[keep], b[keep], d[keep])]
+        keep, layer = layers(a, b, d, count)
+        return a[keep], b[keep], d[keep], layer
 
     step = max(1, _BLOCK // max(1, len(nodes_b)))
     for start in range(0, len(nodes_a), step):
@@ -74,11 +86,11 @@ def compare(left, right, radius: int, ratio: float | None, same: bool):
             parts.append((nodes_a[i[keep]], nodes_b[j[keep]], d[keep]))
             held += int(keep.sum())
             if held > _MANY:
-                parts[:] = thinned()
+                parts[:] = [thinned()[:3]]
                 held = 0
     if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-    return thinned()[0]
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+    return thinned()
 
 
 def _unpacked(rows: pa.StructArray, width: int):
@@ -87,16 +99,17 @@ def _unpacked(rows: pa.StructArray, width: int):
 
 
 def tiled_links(
-    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS
+    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS,
+    count: int = 1,
 ) -> DataFrame:
-    """Links of ``prints(node, size, *words)`` as ``(src, dst, distance)``; ``node`` is a unique long.
+    """Links of ``prints(node, size, *words)`` as ``(src, dst, distance, layer)``; ``node`` is a unique long.
 
     Rows are dealt to tiles by population count, and by size where a ``ratio`` bounds it; a class of
     counts is cut by hash into tiles of about ``tile_rows``. Tile pairs whose population counts differ by more
     than ``radius`` bits (or whose sizes can't meet the ratio) are never paired; all others are compared in
-    full, pair by pair in tasks of their own. Of the links inside one tile pair a minimum spanning forest is
-    returned, which keeps who reaches whom, at every distance up to the radius, without listing all pairs of
-    a large group. Empty input gives no link.
+    full, pair by pair in tasks of their own. Of the links inside one tile pair ``count`` layers of spanning forests
+    are returned. The first keeps who reaches whom, at every distance up to the radius, without listing all pairs
+    of a large group; more of them are for callers that go on to check links. Empty input gives no link.
     """
     spark = prints.sparkSession
     width = len(words)
@@ -140,9 +153,10 @@ def tiled_links(
 
     def run(group: pa.Table) -> pa.Table:
         sides = [_unpacked(tile.values, width) for tile in group.column("rows")]
-        a, b, d = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1)
-        return pa.table({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64()), "distance": pa.array(d, pa.int32())})
+        found = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1, count)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table([pa.array(x, k) for x, k in zip(found, kinds)], names=["src", "dst", "distance", "layer"])
 
     return sides.join(tiles, ["pop", "band", "part"]).select("pair", "rows").groupBy("pair").applyInArrow(
-        run, "src bigint, dst bigint, distance int"
+        run, "src bigint, dst bigint, distance int, layer int"
     )
