@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import FULL_VOCABULARY, BehaviourVocabulary
 from ratelens.operators.encoding import category_indicators, list_indicators
-from ratelens.operators.joins import broadcast_if_small
 from ratelens.operators.scaling import fit_columns, scale
 
 # Raw user column -> feature.
@@ -40,50 +39,50 @@ def ratings_with_titles(ratings: DataFrame, titles: DataFrame, key: str = "anime
 
 
 def user_behaviour(
-    ratings: DataFrame,
-    titles: DataFrame,
-    vocabulary: BehaviourVocabulary = FULL_VOCABULARY,
-    approximate_titles: bool = False,
+    ratings: DataFrame, titles: DataFrame, vocabulary: BehaviourVocabulary = FULL_VOCABULARY
 ) -> DataFrame:
     """Rating statistics, genre and type counts and per-type averages of every user.
 
-    Genre tests run once per title, not once per rating; one conditional aggregation then replaces a
-    join per feature. Distinct titles are counted beside it on two narrow columns, since a distinct
-    inside the wide aggregation would shuffle the wide buffers once per rating. Both aggregates are
-    partitioned by user, so joining them needs no further shuffle. ``approximate_titles`` counts them by
-    a sketch within the one aggregation instead.
+    The ratings are read once and summed per user and title, which every task does for its own rows before the
+    shuffle, so that a user with a large share of all rows is spread over its titles. Titles then meet those
+    sums, and a second aggregation, again combined before its shuffle, has one group per user; its number of
+    rows is that of distinct titles. Genre tests run once per title, not once per rating.
     """
     genres = list_indicators(F.col("Genres"), vocabulary.genres, "genre_count", ignore_case=vocabulary.ignore_case)
     types = category_indicators(F.col("Type"), vocabulary.types, "type_count")
     genre_names = [feature_name("genre_count", g) for g in vocabulary.genres]
     type_names = [feature_name("type_count", t) for t in vocabulary.types]
-    encoded = broadcast_if_small(titles.select("anime_id", *genres, *types))
-    score = F.col("rating")
-
-    rated = ratings_with_titles(ratings.select("user_id", "anime_id", "rating"), encoded)
-    sketch = [F.approx_count_distinct("anime_id").alias("unique_anime_count")] if approximate_titles else []
-    stats = rated.groupBy("user_id").agg(
-        F.count("*").alias("total_ratings"),
-        F.avg(score).alias("avg_rating"),
-        F.stddev_samp(score).alias("rating_std"),
-        F.min(score).alias("min_rating"),
-        F.max(score).alias("max_rating"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in genre_names + type_names],
+    encoded = titles.select("anime_id", *genres, *types)
+    score = F.col("rating").cast("double")
+    sums = ratings.groupBy("user_id", "anime_id").agg(
+        F.count("*").alias("__rows"),
+        F.count("rating").alias("__rated"),
+        F.sum(score).alias("__sum"),
+        F.sum(score * score).alias("__squares"),
+        F.min("rating").alias("__min"),
+        F.max("rating").alias("__max"),
+    )
+    rated, total, squares = (F.sum(c) for c in ("__rated", "__sum", "__squares"))
+    variance = F.try_divide(squares - F.try_divide(total * total, rated), rated - 1)
+    stats = ratings_with_titles(sums, encoded).groupBy("user_id").agg(
+        F.sum("__rows").alias("total_ratings"),
+        F.try_divide(total, rated).alias("avg_rating"),
+        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("__sd"),
+        rated.alias("__count"),
+        F.min("__min").alias("min_rating"),
+        F.max("__max").alias("max_rating"),
+        *[F.coalesce(F.sum(F.col(name) * F.col("__rows")), F.lit(0)).alias(name) for name in genre_names + type_names],
         *[
-            F.avg(F.when(F.col(name) == 1, score)).alias(feature_name("avg_rating", t))
+            F.try_divide(F.sum(F.when(F.col(name) == 1, F.col("__sum"))), F.sum(F.when(F.col(name) == 1, F.col("__rated"))))
+            .alias(feature_name("avg_rating", t))
             for name, t in zip(type_names, vocabulary.types)
         ],
-        *sketch,
-    )
-    if approximate_titles:
-        return stats
-    titles_per_user = (
-        ratings.select("user_id", "anime_id")
-        .distinct()
-        .groupBy("user_id")
-        .agg(F.count("anime_id").alias("unique_anime_count"))
+        F.count("anime_id").alias("unique_anime_count"),
     )
-    return stats.join(titles_per_user, "user_id")
+    spread = F.when(F.col("__count") > 1, F.col("__sd"))
+    named = stats.withColumn("rating_std", spread).drop("__sd", "__count")
+    first = ["user_id", "total_ratings", "avg_rating", "rating_std"]
+    return named.select(*first, *[F.col(f"`{c}`") for c in named.columns if c not in first])
 
 
 def user_profile(users: DataFrame) -> DataFrame:

@@ -9,20 +9,15 @@ from pyspark.sql import functions as F
 
 from ratelens.session import stored
 
-HOT_KEY_LIMIT = 1000  # proven bound of the broadcast list; a key outside it holds under 1/1000 of the rows
 ROWS_PER_SLICE = 2_000_000
-BROADCAST_ROWS = 200_000  # under 100 MB for rows of fifty numbers
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than one slice of rows and their number of slices, at most ``HOT_KEY_LIMIT``."""
-    return (
-        counts.select(key, count)
-        .orderBy(F.desc(count), F.asc(key))
-        .limit(HOT_KEY_LIMIT)
-        .filter(F.col(count) > rows_per_slice)
-        .select(key, F.ceil(F.col(count) / rows_per_slice).alias("__slices"))
-    )
+    """All keys with more than one slice of rows, and their number of slices.
+
+    There are fewer of them than rows divided by ``rows_per_slice``.
+    """
+    return counts.filter(F.col(count) > rows_per_slice).select(key, F.ceil(F.col(count) / rows_per_slice).alias("__slices"))
 
 
 def sliced_join(
@@ -38,7 +33,6 @@ def sliced_join(
     A hot key's rows go to a slice by the hash of ``spread_by``; its one row of ``small`` is repeated
     once per slice, so the result is the plain join's.
     """
-    hot = F.broadcast(hot)
     slices = F.coalesce(F.col("__slices"), F.lit(1))
     left = big.join(hot, key, "left").withColumn("__slice", F.pmod(F.xxhash64(*spread_by), slices)).drop("__slices")
     right = (
@@ -69,11 +63,3 @@ def with_group_stats(
     groups = stored(groups, "group-stats")
     hot = hot_keys(groups, key, "__rows", rows_per_slice)
     return sliced_join(df, groups.drop("__rows"), key, hot, spread_by)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unmarked.
-
-    Unmarked, the join is planned by size as usual, and adaptive execution splits its hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -15,8 +15,6 @@ from ratelens.functions.hashing import HASH_SPAN, seeded_hash
 from ratelens.operators.ranking import dense_row_number
 from ratelens.session import stored
 
-_HEAP_ROWS = 10_000  # up to here one task may order the sample
-
 
 def _hashed(df: DataFrame, key: str, seed: int) -> tuple[DataFrame, list[Column]]:
     """``df`` with its hash as a column, since a sort evaluates expressions again for every comparison."""
@@ -42,8 +40,6 @@ def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by hash order of the unique ``key``; only about ``n`` rows are sorted."""
     hashed, order = _hashed(df, key, seed)
     lowest = _lowest_hashes(hashed, n)
-    if n <= _HEAP_ROWS:
-        return lowest.orderBy(*order).limit(n).drop("__hash")
     return dense_row_number(lowest, order, output="__rn").filter(F.col("__rn") <= n).drop("__rn", "__hash")
 
 

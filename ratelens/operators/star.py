@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,7 +118,11 @@ def date_key(day):
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
-def date_dimension(spark: SparkSession, start: str = "2000-01-01", end: str = "2025-12-31") -> DataFrame:
+#: Fixed value: first and last day of the default calendar.
+CALENDAR = ("2000-01-01", "2025-12-31")
+
+
+def date_dimension(spark: SparkSession, start: str = CALENDAR[0], end: str = CALENDAR[1]) -> DataFrame:
     """One row per day from ``start`` to ``end`` inclusive."""
     bounds = spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
     return _calendar(bounds.select(F.explode(F.sequence("start", "end")).alias("Full_Date")))
@@ -186,10 +191,12 @@ def build_star(
     """All four tables from raw inputs.
 
     Dated ratings leave ``dim_date`` open: it covers their span and is derived from the stored fact,
-    which is far cheaper to read than the ratings are to compute again. Otherwise it is the default range.
+    which is far cheaper to read than the ratings are to compute again. Otherwise it is the default range,
+    extended to the load date, which is today unless given.
     """
     dim_user, dim_anime = user_dimension(users), title_dimension(titles)
-    dim_date = None if date_column else date_dimension(ratings.sparkSession)
-    return Star(
-        dim_user, dim_anime, dim_date, ratings_fact(ratings, dim_user, dim_anime, None, date_column, load_date)
-    )
+    if date_column:
+        return Star(dim_user, dim_anime, None, ratings_fact(ratings, dim_user, dim_anime, None, date_column))
+    day = load_date or datetime.date.today().isoformat()
+    dim_date = date_dimension(ratings.sparkSession, min(CALENDAR[0], day), max(CALENDAR[1], day))
+    return Star(dim_user, dim_anime, dim_date, ratings_fact(ratings, dim_user, dim_anime, dim_date, None, day))

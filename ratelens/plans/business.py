@@ -44,8 +44,8 @@ def users_never_low(star: Star, low_max: int | None = None) -> DataFrame:
 
 def users_never_low_anti(star: Star, low_max: int | None = None) -> DataFrame:
     """The same users by a semi and an anti join, for facts whose low ratings are few or separately stored."""
-    low = star.fact.filter(_is_low(low_max)).select("User_SK")
-    raters = star.fact.select("User_SK")
+    low = star.fact.filter(_is_low(low_max)).select("User_SK").distinct()
+    raters = star.fact.select("User_SK").distinct()
     return (
         _user_card(star).join(raters, "User_SK", "left_semi").join(low, "User_SK", "left_anti").orderBy("User_SK")
     )

@@ -22,7 +22,6 @@ from ratelens.operators.behaviour import (
     PROFILE_COLUMNS,
     SCALED_COLUMNS,
     derived_features,
-    ratings_of,
     scaled_features,
     user_behaviour,
     user_profile,
@@ -122,7 +121,7 @@ def classification_features(
     known = users.filter(F.col("Gender").isin(*selection.classes))
     if selection.sample_users:
         known = seeded_sample(known, selection.sample_users, "user_id", selection.seed)
-    behaviour = user_behaviour(ratings_of(ratings, known), titles, vocabulary)
+    behaviour = user_behaviour(ratings, titles, vocabulary)
     enough = behaviour.filter(F.col("total_ratings") >= selection.min_ratings)
     features = stored(derived_features(enough.join(user_profile(known), "user_id"), vocabulary), "user-features")
     filled = scaled_features(features).fillna(0)

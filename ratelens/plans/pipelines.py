@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,12 +67,13 @@ def csv_star(spark: SparkSession, data: str, path: str, load_date: str | None =
             load_date=load_date,
         )
 
-    return ensure_star(spark, path, build)
+    load_date = load_date or datetime.date.today().isoformat()
+    return ensure_star(spark, path, build, {"data": data, "load_date": load_date})
 
 
-def run_business(spark: SparkSession, data: str, output: str) -> DataFrame:
+def run_business(spark: SparkSession, data: str, output: str, load_date: str | None = None) -> DataFrame:
     """Star, profile of the titles and all query batches; returns the status of every query."""
-    star = csv_star(spark, data, f"{output}/star_schema")
+    star = csv_star(spark, data, f"{output}/star_schema", load_date)
     write_dataset_info(star.dim_anime, f"{output}/results")
     write_numeric_statistics(star.dim_anime, f"{output}/results")
     statuses = [run_batch(spark, star, batch, f"{output}/results/{batch}") for batch in BATCHES]
@@ -99,7 +103,7 @@ def prepare_regression(spark: SparkSession, data: str, output: str) -> DataFrame
         features = regression_features(raw, fit_rows=raw.filter(F.col("split") == "train"))
         return random_split(features, "anime_id")
 
-    table = materialize(spark, f"{output}/features", build)
+    table = materialize(spark, f"{output}/features", build, {"data": data})
     names = feature_columns(table, (*REGRESSION_IDS, "split"))
     _save_splits(
         table,
@@ -123,7 +127,7 @@ def run_regression(spark: SparkSession, data: str, output: str, specs=None) -> R
 
 
 def prepare_classification(
-    spark: SparkSession, data: str, output: str, selection: UserSelection = UserSelection(sample_users=50_000)
+    spark: SparkSession, data: str, output: str, selection: UserSelection = UserSelection()
 ) -> DataFrame:
     """Feature table per user, split 70/15/15 within each class."""
     files = {f: f"{data}/{f}" for f in (USERS_FILE, RATINGS_FILE, FILTERED_TITLES_FILE)}
@@ -136,7 +140,7 @@ def prepare_classification(
         features = classification_features(ratings, users, titles, selection)
         return stratified_split(features, "user_id", "gender_encoded")
 
-    table = materialize(spark, f"{output}/features", build)
+    table = materialize(spark, f"{output}/features", build, {"data": data, "selection": asdict(selection)})
     names = feature_columns(table, (*CLASSIFICATION_IDS, "split"))
     balance = {row["Gender"]: row["row_count"] for row in class_balance(table, "Gender").collect()}  # two classes
     _save_splits(
@@ -150,7 +154,7 @@ def prepare_classification(
 
 
 def run_classification(
-    spark: SparkSession, data: str, output: str, selection: UserSelection = UserSelection(sample_users=50_000), specs=None
+    spark: SparkSession, data: str, output: str, selection: UserSelection = UserSelection(), specs=None
 ) -> tuple[Ranking, DataFrame]:
     """Prepare, train and rank; returns the ranking and the best model's report."""
     prepare_classification(spark, data, f"{output}/classification", selection)

@@ -27,7 +27,7 @@ class ModelSpec:
     standardize: bool = False
 
 
-def regression_models(depth: int = 10) -> list[ModelSpec]:
+def regression_models(depth: int = 30, rounds: int = 100) -> list[ModelSpec]:
     """Random forest, boosted trees and bagged trees."""
     trees = {"maxDepth": depth, "seed": 42, "featuresCol": "features", "maxMemoryInMB": 1024}
     return [
@@ -35,7 +35,7 @@ def regression_models(depth: int = 10) -> list[ModelSpec]:
             "Random Forest (n=100)",
             lambda y, n: RandomForestRegressor(labelCol=y, numTrees=100, featureSubsetStrategy="all", **trees),
         ),
-        ModelSpec("Gradient Boosting", lambda y, n: GBTRegressor(labelCol=y, **{**trees, "maxDepth": 5})),
+        ModelSpec("Gradient Boosting", lambda y, n: GBTRegressor(labelCol=y, maxIter=rounds, **{**trees, "maxDepth": 3})),
         ModelSpec(
             "Bagged Trees (n=10)",
             lambda y, n: RandomForestRegressor(labelCol=y, numTrees=10, featureSubsetStrategy="all", **trees),
@@ -43,7 +43,7 @@ def regression_models(depth: int = 10) -> list[ModelSpec]:
     ]
 
 
-def classification_models(depth: int = 10) -> list[ModelSpec]:
+def classification_models(depth: int = 30, rounds: int = 100) -> list[ModelSpec]:
     """Logistic regression, random forest and boosted trees."""
     return [
         ModelSpec(
@@ -60,7 +60,7 @@ def classification_models(depth: int = 10) -> list[ModelSpec]:
                 labelCol=y, featuresCol="features", numTrees=200, maxDepth=depth, seed=42, maxMemoryInMB=1024
             ),
         ),
-        ModelSpec("Gradient Boosting", lambda y, n: GBTClassifier(labelCol=y, featuresCol="features", seed=42)),
+        ModelSpec("Gradient Boosting", lambda y, n: GBTClassifier(labelCol=y, featuresCol="features", maxIter=rounds, maxDepth=3, seed=42)),
     ]
 
 
@@ -82,13 +82,28 @@ def _pipeline(spec: ModelSpec, features: Sequence[str], label: str, rows: int) -
     return Pipeline(stages=[*stages, spec.estimator(label, rows)])
 
 
+def model_key(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str) -> str:
+    """Digest of what a model depends on: columns, the estimator's parameters, and the training rows.
+
+    The rows count by their number and the sum of their hashes, which is the same in any order.
+    """
+    rows = train.agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64(label, *[f"`{f}`" for f in features]).cast("decimal(38,0)")).alias("hash"),
+    ).first()
+    estimator = spec.estimator(label, rows["n"])
+    params = sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items() if not p.name.endswith("Col"))
+    key = [type(estimator).__name__, spec.standardize, label, list(features), params, rows["n"], str(rows["hash"])]
+    return hashlib.md5(repr(key).encode()).hexdigest()[:16]
+
+
 def train_or_load(
     spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str, models_path: str | None
 ) -> tuple[PipelineModel, str]:
-    """The stored model for this name and feature list, or a newly trained and stored one."""
+    """The stored model of the same estimator, columns and rows, or a newly trained and stored one."""
     path = None
     if models_path:
-        digest = hashlib.md5("\n".join([label, *features]).encode()).hexdigest()[:12]
+        digest = model_key(spec, train, features, label)
         path = f"{models_path}/{feature_name('model', spec.name)}-{digest}"
         if path_exists(train.sparkSession, f"{path}/metadata"):
             return PipelineModel.load(path), "Loaded"

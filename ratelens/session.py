@@ -34,12 +34,21 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not shared:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="ratelens-"))
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="ratelens-")
+        shared = _local_scratch[context.applicationId]
     return f"{shared.rstrip('/')}/ratelens/{context.applicationId}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables; results that still read them must be stored before."""
+    jvm, context = spark._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

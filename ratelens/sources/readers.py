@@ -31,19 +31,28 @@ def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
         raise FileNotFoundError("missing inputs: " + ", ".join(missing))
 
 
-def resolve_column(columns: Sequence[str], candidates: Sequence[str]) -> str:
-    """The first candidate found among the columns, ignoring case."""
-    by_lower = {c.lower(): c for c in columns}
-    for candidate in candidates:
-        if candidate.lower() in by_lower:
-            return by_lower[candidate.lower()]
-    raise ValueError(f"none of the columns {list(candidates)} found in {list(columns)}")
-
-
 def with_standard_names(df: DataFrame, aliases: dict[str, Sequence[str]]) -> DataFrame:
-    """Rename columns found under any of their aliases to the standard name."""
-    names = {resolve_column(df.columns, [standard, *others]): standard for standard, others in aliases.items()}
-    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+    """Columns under their standard names, found by that name or an alias, whatever their case.
+
+    Earlier aliases go before later ones. Standard names without a column, and columns that two standard names
+    lay claim to, are reported together.
+    """
+    wanted: dict[str, list[tuple[int, str]]] = {}
+    for standard, others in aliases.items():
+        for place, alias in enumerate((standard, *others)):
+            wanted.setdefault(alias.lower(), []).append((place, standard))
+    found: dict[str, tuple[int, str]] = {}
+    for field in df.schema.fields:
+        for place, standard in wanted.get(field.name.lower(), ()):
+            found[standard] = min(found.get(standard, (place, field.name)), (place, field.name))
+    owners: dict[str, list[str]] = {}
+    for standard, (_, column) in found.items():
+        owners.setdefault(column, []).append(standard)
+    faults = [f"{name}: no column" for name in aliases if name not in found]
+    faults += [f"{column}: taken for {' and '.join(names)}" for column, names in owners.items() if len(names) > 1]
+    if faults:
+        raise ValueError("; ".join(faults) + f" (columns: {df.columns})")
+    return df.withColumnsRenamed({column: names[0] for column, names in owners.items()})
 
 
 def read_csv(
@@ -78,14 +87,14 @@ def load_star(spark: SparkSession, path: str) -> Star:
 
 def load_split(
     spark: SparkSession, path: str, split: str, kinds: dict[str, str] | None = None, prefer_parquet: bool = True
-) -> DataFrame | None:
-    """One split from ``<split>.parquet`` or ``<split>.csv``, in the preferred order; None without either."""
+) -> DataFrame:
+    """One split from ``<split>.parquet`` or ``<split>.csv``, in the preferred order; an error without either."""
     readers = [("parquet", lambda p: spark.read.parquet(p)), ("csv", lambda p: read_csv(spark, p, kinds))]
     for suffix, read in readers if prefer_parquet else readers[::-1]:
         file = f"{path}/{split}.{suffix}"
         if path_exists(spark, file):
             return read(file)
-    return None
+    raise FileNotFoundError(f"neither {path}/{split}.parquet nor {path}/{split}.csv")
 
 
 def ratings_of_known_users(ratings: DataFrame, users: DataFrame, key: str = "user_id") -> DataFrame:

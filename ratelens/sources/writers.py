@@ -57,25 +57,34 @@ def save_star(star: Star, path: str) -> None:
     dim_date.write.mode("overwrite").parquet(f"{path}/dim_date")
 
 
-def ensure_star(spark: SparkSession, path: str, build: Callable[[], Star]) -> Star:
-    """The star stored at ``path``, built and written first unless a finished one is there.
+def ensure_star(spark: SparkSession, path: str, build: Callable[[], Star], parameters: dict | None = None) -> Star:
+    """The star stored at ``path``, built and written first unless one of the same ``parameters`` is there.
 
     The caller always gets the stored tables, never the lineage that produced them.
     """
-    done = f"{path}/finished"
-    if not path_exists(spark, done):
+    done, parameters = f"{path}/finished", json.loads(json.dumps(parameters or {}))
+    if not _finished(spark, done, parameters):
         save_star(build(), path)
-        write_metadata(spark, {"tables": 4}, done)
+        write_metadata(spark, {"tables": 4, "parameters": parameters}, done)
     return load_star(spark, path)
 
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table stored at ``path``, built and written first unless a finished one is there."""
-    done = f"{path}.finished"
-    if not path_exists(spark, done):
+def _finished(spark: SparkSession, done: str, parameters: dict) -> bool:
+    return path_exists(spark, done) and read_metadata(spark, done).get("parameters") == parameters
+
+
+def materialize(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], parameters: dict | None = None
+) -> DataFrame:
+    """The table stored at ``path``, built and written first unless one of the same ``parameters`` is there.
+
+    Parameters are values of JSON and should name all that the table depends on, its inputs too.
+    """
+    done, parameters = f"{path}.finished", json.loads(json.dumps(parameters or {}))
+    if not _finished(spark, done, parameters):
         frame = build()
         frame.write.mode("overwrite").parquet(path)
-        write_metadata(spark, {"columns": frame.columns}, done)
+        write_metadata(spark, {"columns": frame.columns, "parameters": parameters}, done)
     return spark.read.parquet(path)
 
 

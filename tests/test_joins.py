@@ -28,11 +28,18 @@ def test_group_stats_need_no_window(skewed):
     assert "Window" not in result._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_keys_are_listed_with_their_slices_and_bounded(skewed, monkeypatch):
+def test_all_hot_keys_are_listed_with_their_slices(skewed):
     counts = skewed.groupBy("k").agg(F.count("*").alias("n"))
     assert [tuple(r) for r in joins.hot_keys(counts, "k", "n", 100).collect()] == [(0, 10)]
-    monkeypatch.setattr(joins, "HOT_KEY_LIMIT", 3)
-    assert joins.hot_keys(counts, "k", "n", 1).count() == 3
+    assert joins.hot_keys(counts, "k", "n", 1).count() == counts.count()
+
+
+def test_more_hot_keys_than_a_thousand_are_all_split(spark):
+    rows = spark.range(12_000).select((F.col("id") % 1200).alias("k"), "id")
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    assert joins.hot_keys(counts, "k", "n", 5).filter("__slices = 2").count() == 1200
+    result = joins.with_group_stats(rows, "k", [F.count("*").alias("n")], ["id"], rows_per_slice=5)
+    assert result.filter("n = 10").count() == 12_000
 
 
 def test_hot_rows_spread_over_slices(spark, skewed):
@@ -60,13 +67,6 @@ def test_attributes_join_the_groups(spark, skewed):
     assert result.filter("name <> concat('n', k)").isEmpty()
 
 
-def test_broadcast_only_up_to_the_checked_size(spark):
-    small = spark.range(10)
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(joins.broadcast_if_small(small, 10))
-    assert not hinted(joins.broadcast_if_small(small, 9))
-
-
 def test_adaptive_execution_splits_a_hot_user_of_the_fact_join(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

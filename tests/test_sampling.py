@@ -48,7 +48,6 @@ def test_a_class_of_one_row_is_kept(spark):
 
 def test_sample_has_n_rows_by_either_way(labelled, monkeypatch):
     small = {r.id for r in sampling.seeded_sample(labelled.repartition(3), 200, "id").collect()}
-    monkeypatch.setattr(sampling, "_HEAP_ROWS", 10)
     large = {r.id for r in sampling.seeded_sample(labelled, 200, "id").collect()}
     assert small == large and len(small) == 200
     assert {r.id for r in sampling.seeded_sample(labelled, 200, "id", seed=1).collect()} != small

@@ -45,16 +45,22 @@ def test_missing_inputs_are_listed(spark, messy, tmp_path):
 
 
 def test_columns_are_found_by_alias(spark):
-    assert readers.resolve_column(["Mal ID", "x"], ["user_id", "mal id"]) == "Mal ID"
-    with pytest.raises(ValueError):
-        readers.resolve_column(["x"], ["user_id"])
     df = spark.createDataFrame([(1, 2)], "`UID` int, other int")
     assert readers.with_standard_names(df, {"user_id": ["uid"]}).columns == ["user_id", "other"]
+    both = spark.createDataFrame([(1, 2)], "`uid` int, `User_ID` int")
+    assert readers.with_standard_names(both, {"user_id": ["uid"]}).columns == ["uid", "user_id"]
+
+
+def test_missing_and_ambiguous_columns_are_reported_together(spark):
+    df = spark.createDataFrame([(1, 2)], "id int, other int")
+    with pytest.raises(ValueError, match="Gender: no column.*id: taken for user_id and anime_id"):
+        readers.with_standard_names(df, {"user_id": ["id"], "anime_id": ["id"], "Gender": []})
 
 
 def test_split_prefers_parquet_and_falls_back(spark, tmp_path):
     base = str(tmp_path)
-    assert readers.load_split(spark, base, "train") is None
+    with pytest.raises(FileNotFoundError):
+        readers.load_split(spark, base, "train")
     writers.write_dataset(spark.range(3), f"{base}/train", "csv")
     assert readers.load_split(spark, base, "train").dtypes == [("id", "string")]
     writers.write_dataset(spark.range(5), f"{base}/train", "parquet")
@@ -122,3 +128,14 @@ def test_scratch_lies_in_the_configured_folder(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         scratch_root(Session())
     assert build_session().conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_other_parameters_rebuild(spark, tmp_path):
+    path, built = f"{tmp_path}/table", []
+
+    def build():
+        built.append(1)
+        return spark.range(len(built))
+
+    for parameters, rows in (({"n": [1, 2]}, 1), ({"n": [1, 2]}, 1), ({"n": [1, 3]}, 2), (None, 3)):
+        assert writers.materialize(spark, path, build, parameters).count() == rows

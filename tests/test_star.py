@@ -73,7 +73,7 @@ def test_saved_star_is_reused_without_building(spark, users, titles, ratings, tm
 
     def build():
         built.append(1)
-        return build_star(users, titles, ratings, "day" if dated else None)
+        return build_star(users, titles, ratings, "day" if dated else None, None if dated else "2024-02-29")
 
     first, second = ensure_star(spark, path, build), ensure_star(spark, path, build)
     assert built == [1]
@@ -101,3 +101,12 @@ def test_stored_fact_keeps_users_together(spark, star, tmp_path):
     save_star(star, path)
     fact = load_star(spark, path).fact.withColumn("file", F.input_file_name())
     assert fact.groupBy("User_SK").agg(F.countDistinct("file").alias("n")).filter("n > 1").isEmpty()
+
+
+@pytest.mark.parametrize("day", ["2024-02-29", "2031-05-05", "1999-12-31", None])
+def test_calendar_covers_the_load_date(users, titles, ratings, day):
+    made = build_star(users, titles, ratings, load_date=day)
+    assert made.fact.filter("Date_SK IS NULL").isEmpty()
+    assert made.fact.join(made.dim_date, "Date_SK", "left_anti").isEmpty()
+    if day:
+        assert [r[0] for r in made.fact.select("Date_SK").distinct().collect()] == [int(day.replace("-", ""))]
