@@ -18,8 +18,9 @@ from ratelens.llm.common import id_and_text, lower_ascii, slices, store, texts
 
 #: A token that no word can be: words have at least one byte.
 END = b""
-#: Bounds of what is broadcast. Words beyond KNOWN are looked up by a join, so no count is cut off.
-KNOWN, KNOWN_BYTES = 65_536, 64
+#: Listed tokens make up at least 1 / KNOWN of all tokens each, so there are at most KNOWN of them, of KNOWN_BYTES
+#: bytes; that bounds what is broadcast. All others are looked up by a join, so no count is cut off.
+KNOWN, KNOWN_BYTES = 1 << 20, 64
 #: Classes: HEAD_CLASSES times MEMBERS most frequent tokens, and RARE_CLASSES for all others, by their last bytes.
 HEAD_CLASSES, MEMBERS, RARE_CLASSES = 16, 32, 16
 CLASSES = HEAD_CLASSES + RARE_CLASSES
@@ -104,7 +105,7 @@ _START = KNOWN + RARE_CLASSES
 
 def classes_of(numbers: np.ndarray, rare: np.ndarray) -> np.ndarray:
     """Class of each token; ``rare`` has the rare class of each known token."""
-    return np.where(numbers < HEAD, numbers // MEMBERS, HEAD_CLASSES + np.where(numbers < KNOWN, rare[np.minimum(numbers, KNOWN - 1)], numbers - KNOWN))
+    return np.where(numbers < HEAD, numbers // MEMBERS, HEAD_CLASSES + np.where(numbers < KNOWN, rare[np.minimum(numbers, len(rare) - 1)], numbers - KNOWN))
 
 
 def contexts(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -290,7 +291,7 @@ def score_tokens(model: Model, rare: np.ndarray, masks, values: list[str]):
         own = classes[scarce] - HEAD_CLASSES
         log[scarce] -= np.log(model.rare_tokens[own] + model.rare_types[own] + 1)
         logs[at : at + STEP_TOKENS] = log
-    listed = np.log10(np.concatenate([model.counts, np.zeros(RARE_CLASSES)])[numbers] + 1)
+    listed = np.log10(np.where(numbers < KNOWN, model.counts[np.minimum(numbers, len(model.counts) - 1)], 0) + 1)
     rare_listed = np.where((numbers >= HEAD) & (numbers < KNOWN), listed, 0.0)
     rows, at = [], 0
     for n in lengths.tolist():
@@ -308,10 +309,12 @@ def score_tokens(model: Model, rare: np.ndarray, masks, values: list[str]):
 def fit(source: DataFrame, rounds: int = ROUNDS) -> tuple[Model, np.ndarray, DataFrame]:
     """Model, rare classes of its listed tokens, and the stored counts of ``source(id, digest, text)``."""
     counts = store(count_tokens(source), "lm-counts")
-    # The list is bounded by KNOWN tokens of KNOWN_BYTES bytes.
-    top = counts.filter(F.length("token") <= KNOWN_BYTES).orderBy(F.desc("c"), F.asc("token")).limit(KNOWN).collect()
+    sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("n")).first()
+    # A filter and not a sort: each task sends only what it has of at most KNOWN tokens.
+    listed_ones = (F.length("token") <= KNOWN_BYTES) & (F.col("c") * KNOWN >= F.lit(sums["c"] or 0))
+    top = sorted(counts.filter(listed_ones).collect(), key=lambda r: (-r["c"], bytes(r["token"])))
     known = {bytes(r["token"]): k for k, r in enumerate(top)}
-    listed, rare = np.zeros(KNOWN, np.int64), np.zeros(KNOWN, np.int64)
+    listed, rare = np.zeros(len(top) + 1, np.int64), np.zeros(len(top) + 1, np.int64)
     for k, r in enumerate(top):
         listed[k], rare[k] = r["c"], rare_class(bytes(r["token"]))
     head = {w for w, k in known.items() if k < HEAD}
@@ -328,7 +331,6 @@ def fit(source: DataFrame, rounds: int = ROUNDS) -> tuple[Model, np.ndarray, Dat
     rare_tokens, rare_types = np.zeros(RARE_CLASSES), np.zeros(RARE_CLASSES)
     for row in rest.collect():  # one row for each rare class
         rare_tokens[row["kind"]], rare_types[row["kind"]] = row["c"], row["n"]
-    sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("n")).first()
     model = Model(known, listed, sums["c"] or 0, sums["n"], rare_tokens, rare_types)
     return train(source, model, rare, rounds), rare, counts
 

@@ -13,13 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import slices, texts
+from ratelens.llm.common import slices, store, texts
 
 #: Rule and verdict. A rule is a host with its subdomains, and the beginning of a path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 CLASSES = ("allow", "block")
-#: Bounds of what is broadcast: the words of the unigram model and the hashed tokens of the classifier.
-WORDS, WORD_LETTERS = 50_000, 20
+#: Bounds of what is broadcast. Words of the unigram model make up at least 1 / WORDS of all words each, so there are
+#: at most WORDS of them; tokens of the classifier are hashed.
+WORDS, WORD_LETTERS = 1 << 18, 20
 BUCKETS = 1 << 15
 _FLUSH = 200_000
 _TAG = re.compile(r"<[^>]*>")
@@ -121,10 +122,13 @@ def fit(named: DataFrame, counts: DataFrame):
     """(segmenter counts, log likelihoods by class and bucket, log priors) of ``named(host, path, decision)``.
 
     Every row that a rule decides is a labelled example; counts add up in the tasks and by Spark, and the driver gets
-    at most two rows a bucket. The unigram model is the WORDS most frequent words.
+    at most two rows a bucket. The unigram model is the frequent words, at most WORDS of them.
     """
     spark = named.sparkSession
-    top = {r["word"]: r["c"] for r in counts.orderBy(F.desc("c"), F.asc("word")).limit(WORDS).collect()}
+    counts = store(counts, "url-words")
+    whole = counts.agg(F.sum("c")).first()[0] or 0
+    # A filter and not a sort: each task sends only what it has of at most WORDS words.
+    top = {r["word"]: r["c"] for r in counts.filter(F.col("c") * WORDS >= whole).collect()}
     sent = spark.sparkContext.broadcast(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
