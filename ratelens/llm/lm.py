@@ -165,7 +165,7 @@ def _outputs(model: Model, masks, buckets, classes):
 
 def _descend(table: np.ndarray, seen: np.ndarray, touched: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
     """AdaGrad step on the rows that occur, with their gradients added up."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # BUCKETS fit 16 bits, which sort by radix
     sorted_rows = rows[order]
     starts = np.concatenate([[0], np.nonzero(np.diff(sorted_rows))[0] + 1])
     sums = np.add.reduceat(grad[order], starts, axis=0)
