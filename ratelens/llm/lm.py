@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -92,10 +93,9 @@ class Model:
             words = tokens_of(text)
             lengths.append(len(words))
             flat += words
-        get = self.known.get
-        numbers = np.array([get(w, -1) for w in flat], np.int64)
-        for k in np.nonzero(numbers < 0)[0].tolist():
-            numbers[k] = KNOWN + rare_class(flat[k])
+        numbers = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        others = np.nonzero(numbers < 0)[0]
+        numbers[others] = [KNOWN + rare_class(flat[k]) for k in others.tolist()]
         return numbers, np.array(lengths, np.int64), flat
 
 
@@ -132,12 +132,24 @@ def _word_rows(buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (buckets * 31 + classes[:, None] * 7919) % BUCKETS
 
 
-def _log_softmax(values: np.ndarray) -> np.ndarray:
-    values -= values.max(axis=1, keepdims=True)
-    values -= np.log(np.exp(values).sum(axis=1, keepdims=True))
+def _across(values: np.ndarray, join) -> np.ndarray:
+    """``join`` over the columns of each row, halves at a time: numpy is slow at short rows."""
+    while (width := values.shape[1]) > 1:
+        half = width // 2
+        folded = join(values[:, :half], values[:, half : 2 * half])
+        if width % 2:
+            folded[:, 0] = join(folded[:, 0], values[:, -1])
+        values = folded
     return values
 
 
+def _softmax(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values less the largest of their row, their exponentials, and the sums of these: log p is value - log(sum)."""
+    values -= _across(values, np.maximum)
+    powers = np.exp(values)
+    return values, powers, _across(powers, np.add)
+
+
 def _masks(model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Minus infinity where no token is: members beyond the vocabulary, and head classes without members."""
     member = np.zeros((HEAD_CLASSES, MEMBERS), np.float32)
@@ -149,30 +161,48 @@ def _masks(model: Model) -> tuple[np.ndarray, np.ndarray]:
     return of_class, member
 
 
-def _outputs(model: Model, masks, buckets, classes):
-    """Log probabilities of all classes, and of the members of each head token's class."""
-    logits = model.class_bias + masks[0] + model.class_weights[buckets[:, 0]]
+def _softmaxes(model: Model, masks, buckets, classes):
+    """Softmax over all classes, and over the members of each head token's class."""
+    logits = model.class_weights.take(buckets[:, 0], axis=0)
     for k in range(1, FEATURES):
-        logits += model.class_weights[buckets[:, k]]
+        logits += model.class_weights.take(buckets[:, k], axis=0)
+    logits += model.class_bias + masks[0]
     head = np.nonzero(classes < HEAD_CLASSES)[0]
     own = classes[head]
     rows = _word_rows(buckets[head], own)
-    words = model.word_bias[own] + masks[1][own]
+    words = (model.word_bias + masks[1]).take(own, axis=0)
     for k in range(FEATURES):
-        words += model.word_weights[rows[:, k]]
-    return _log_softmax(logits), head, rows, _log_softmax(words)
+        words += model.word_weights.take(rows[:, k], axis=0)
+    return _softmax(logits), head, rows, _softmax(words)
+
+
+def _outputs(model: Model, masks, buckets, classes):
+    """Log probabilities of all classes, and of the members of each head token's class."""
+    (of_class, _, class_sums), head, rows, (of_word, _, word_sums) = _softmaxes(model, masks, buckets, classes)
+    return of_class - np.log(class_sums), head, rows, of_word - np.log(word_sums)
+
+
+def _ascent(outputs, own: np.ndarray, scale: float) -> np.ndarray:
+    """Gradient of the log probabilities of columns ``own``, times ``scale``."""
+    _, powers, sums = outputs
+    powers *= -scale / sums
+    powers[np.arange(len(own)), own] += scale
+    return powers
 
 
 def _descend(table: np.ndarray, seen: np.ndarray, touched: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """AdaGrad step on the rows that occur, with their gradients added up."""
-    order = np.argsort(rows.astype(np.uint16), kind="stable")  # BUCKETS fit 16 bits, which sort by radix
-    sorted_rows = rows[order]
-    starts = np.concatenate([[0], np.nonzero(np.diff(sorted_rows))[0] + 1])
-    sums = np.add.reduceat(grad[order], starts, axis=0)
-    own = sorted_rows[starts]
-    touched[own] += np.diff(np.concatenate([starts, [len(rows)]]))
-    seen[own] += sums * sums
-    table[own] += RATE * sums / np.sqrt(seen[own] + 1e-6)
+    """AdaGrad step on the rows that occur, with their gradients added up; ``rows`` has a column for each feature."""
+    width = table.shape[1]
+    added, places, flat = np.zeros(table.size, np.float32), np.arange(width), grad.reshape(-1)
+    for column in rows.T:
+        np.add.at(added, (column[:, None] * width + places).reshape(-1), flat)
+    times = np.bincount(rows.reshape(-1), minlength=len(table))
+    own = np.nonzero(times)[0]
+    added = added.reshape(table.shape).take(own, axis=0)
+    past = seen.take(own, axis=0) + added * added
+    touched[own] += times[own]
+    seen[own] = past
+    table[own] += RATE * added / np.sqrt(past + 1e-6)
 
 
 class Trainer:
@@ -188,24 +218,18 @@ class Trainer:
     def step(self, numbers: np.ndarray, buckets: np.ndarray) -> None:
         model = self.model
         classes = classes_of(numbers, self.rare)
-        of_class, head, rows, of_word = _outputs(model, self.masks, buckets, classes)
+        of_class, head, rows, of_word = _softmaxes(model, self.masks, buckets, classes)
         scale = 1.0 / math.sqrt(len(numbers))
-        grad = -np.exp(of_class)
-        grad[np.arange(len(numbers)), classes] += 1
-        grad *= scale
-        for k in range(FEATURES):
-            _descend(model.class_weights, self.seen["class_weights"], self.touched["class_weights"], buckets[:, k], grad)
+        grad = _ascent(of_class, classes, scale)
+        _descend(model.class_weights, self.seen["class_weights"], self.touched["class_weights"], buckets, grad)
         whole = grad.sum(axis=0)
         self.seen["class_bias"] += whole * whole
         model.class_bias += RATE * whole / np.sqrt(self.seen["class_bias"] + 1e-6)
         self.touched["class_bias"] += len(numbers)
         if len(head):
-            grad = -np.exp(of_word)
-            grad[np.arange(len(head)), numbers[head] % MEMBERS] += 1
-            grad *= scale
-            for k in range(FEATURES):
-                _descend(model.word_weights, self.seen["word_weights"], self.touched["word_weights"], rows[:, k], grad)
-            _descend(model.word_bias, self.seen["word_bias"], self.touched["word_bias"], classes[head], grad)
+            grad = _ascent(of_word, numbers[head] % MEMBERS, scale)
+            _descend(model.word_weights, self.seen["word_weights"], self.touched["word_weights"], rows, grad)
+            _descend(model.word_bias, self.seen["word_bias"], self.touched["word_bias"], classes[head][:, None], grad)
 
     def updates(self) -> Iterator[tuple[str, int, bytes]]:
         """Blocks of rows: how far each has moved, weighted by how often it was touched, and that number."""
