@@ -43,17 +43,21 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 
 def class_feature_means(df: DataFrame, features: Sequence[str], label: str, first, second) -> DataFrame:
-    """Mean of every feature in two classes and the ratio second / first."""
-    value = F.col("value")
-    return (
-        df.unpivot(label, [F.col(f"`{c}`") for c in features], "feature", "value")
-        .groupBy("feature")
-        .agg(
-            F.avg(F.when(F.col(label) == first, value)).alias("mean_first"),
-            F.avg(F.when(F.col(label) == second, value)).alias("mean_second"),
-        )
-        .withColumn("ratio", F.try_divide(F.col("mean_second"), F.col("mean_first")))
+    """Mean of every feature in two classes and the ratio second / first, in one pass; NULL without rows."""
+    group = F.col(f"`{label}`")
+    means = df.agg(
+        *[
+            F.avg(F.when(group == wanted, F.col(f"`{name}`"))).alias(f"{side}{i}")
+            for i, name in enumerate(features)
+            for side, wanted in (("first", first), ("second", second))
+        ]
     )
+    rows = [
+        F.struct(F.lit(name).alias("feature"), F.col(f"first{i}").alias("mean_first"), F.col(f"second{i}").alias("mean_second"))
+        for i, name in enumerate(features)
+    ]
+    ratio = F.try_divide(F.col("mean_second"), F.col("mean_first"))
+    return means.select(F.inline(F.array(*rows))).withColumn("ratio", ratio)
 
 
 def collapse_titles(ratings: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
