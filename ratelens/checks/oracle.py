@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratelens.checks.registry import CLASS_FEATURES, MIN_RATINGS, PROFILED, SCALED, USER_SAMPLE
+from ratelens.checks.registry import CLASS_FEATURES, LOAD_DATE, MIN_RATINGS, SCALED, USER_SAMPLE
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import (
     AGE_RATINGS,
@@ -262,7 +262,7 @@ _ASSESSMENT = f"""SELECT column_name, {_round(["null_percentage"])},
        WHEN coefficient_of_variation IS NOT NULL THEN 'high' END AS spread,
   {_round(["min", "max"])}, round(max - min, 6) AS value_range
 FROM (SELECT *, CASE WHEN stddev > 0 THEN stddev / nullif(mean, 0) * 100 END AS coefficient_of_variation
-      FROM ({_statistics("dim_anime", PROFILED)}))"""
+      FROM ({_statistics("dim_anime", [c for c, kind in _ANIME_TYPES if kind != "string"])}))"""
 
 
 def _flag(condition: str, name: str) -> str:
@@ -396,6 +396,36 @@ FROM (SELECT user_id, gender AS Gender, count(*) OVER (PARTITION BY gender) AS n
         row_number() OVER (PARTITION BY gender ORDER BY {_HASH}, user_id) AS rn
       FROM raw_users WHERE gender IS NOT NULL)"""
 
+_BY_RULE = """, guessed AS (
+  SELECT CAST(gender = 'Female' AS INTEGER) AS actual, CAST(completed >= 5000 AS INTEGER) AS predicted
+  FROM raw_users WHERE gender IN ('Male', 'Female')
+)"""
+_REPORT = f"""{_BY_RULE}, per_class AS (
+  SELECT class, coalesce(hits / nullif(said, 0)::DOUBLE, 0) AS "precision",
+    coalesce(hits / nullif(support, 0)::DOUBLE, 0) AS recall,
+    coalesce(2.0::DOUBLE * hits / nullif(said + support, 0), 0) AS f1, support, hits
+  FROM (SELECT name AS class, count(*) FILTER (WHERE actual = id AND predicted = id) AS hits,
+          count(*) FILTER (WHERE predicted = id) AS said, count(*) FILTER (WHERE actual = id) AS support
+        FROM guessed, (VALUES (0, 'Male'), (1, 'Female')) c(id, name) GROUP BY name)
+), total AS (SELECT CAST(sum(support) AS BIGINT) AS n, sum(hits) / sum(support)::DOUBLE AS accuracy FROM per_class)"""
+_CELLS = ("user_id", "anime_id", "rating", "rated_on", "Type", "Genres")
+_EMPTY = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in _CELLS)
+_RULES = r"""SELECT anime_id,
+  coalesce(NOT regexp_matches(age, '^\d+(\.\d+)?$|^https?://|min|hr|^(fall|spring|summer|winter)|^(Bandai|Madhouse|Bee Train|Trans Arts|ORADA|ADV)')
+    AND (starts_with(age, 'G - All Ages') OR starts_with(age, 'PG - Children') OR starts_with(age, 'PG-13 - Teens')
+      OR starts_with(age, 'R - 17+') OR starts_with(age, 'R+ - Mild') OR starts_with(age, 'Rx - Hentai')
+      OR age IN ('UNKNOWN', 'Unknown', 'None')) AND length(age) < 50, false) AS age_rating_valid,
+  coalesce(NOT regexp_matches(studio, '^https?://') AND length(studio) < 150
+    AND (length(studio) <= 100 OR contains(studio, ',')), false) AS studio_valid
+FROM (SELECT anime_id,
+    CASE anime_id % 8 WHEN 1 THEN '7.5' WHEN 2 THEN 'https://a.example/' WHEN 3 THEN 'R - 17+ 24 min'
+      WHEN 4 THEN 'G - All Ages' || repeat('x', 60) WHEN 5 THEN 'spring 1999' WHEN 6 THEN 'Madhouse'
+      ELSE rating END AS age,
+    CASE anime_id % 5 WHEN 1 THEN 'https://s.example/' || anime_id WHEN 2 THEN repeat('a', 120)
+      WHEN 3 THEN repeat('a', 60) || ',' || repeat('b', 60) WHEN 4 THEN repeat('a', 80) || ',' || repeat('b', 80)
+      ELSE studios END AS studio
+  FROM raw_titles)"""
+
 _DAY = "CAST(rated_on AS VARCHAR) AS rated_on"
 _LEFT_TITLES = """SELECT r.* REPLACE (CAST(r.rated_on AS VARCHAR) AS rated_on), t.type AS Type, t.genres AS Genres
 FROM raw_ratings r LEFT JOIN (SELECT * FROM raw_titles WHERE type IS NOT NULL) t USING (anime_id)"""
@@ -424,9 +454,41 @@ def oracles() -> dict[str, str]:
         "numeric_stats": _star(_NUMERIC_STATS),
         "numeric_assessment": _star(_ASSESSMENT),
         "quality_report": _raw(f"""SELECT CAST(sum(n) AS BIGINT) AS row_count,
-  CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(CASE WHEN Type IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_cells,
-  round(sum(CASE WHEN Type IS NULL THEN n ELSE 0 END) * 100.0::DOUBLE / (sum(n) * 4), 6) AS null_percentage
-FROM (SELECT user_id, anime_id, rating, Type, count(*) AS n FROM ({_LEFT_TITLES}) GROUP BY ALL)"""),
+  CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(({_EMPTY}) * n) AS BIGINT) AS null_cells,
+  round(sum(({_EMPTY}) * n) * 100.0::DOUBLE / (sum(n) * {len(_CELLS)}), 6) AS null_percentage
+FROM (SELECT {", ".join(_CELLS)}, count(*) AS n FROM ({_LEFT_TITLES}) GROUP BY ALL)"""),
+        "csv_quoted_roundtrip": _raw("""SELECT anime_id, name AS Name, type AS Type, source AS Source, genres AS Genres,
+  studios AS Studios, producers AS Producers, aired AS Aired, duration AS Duration,
+  name || chr(10) || 'said "' || genres || '", twice' AS Synopsis, true AS well_formed FROM raw_titles"""),
+        "csv_split": _raw(f"SELECT * REPLACE ({_DAY}) FROM raw_ratings"),
+        "category_rules": _raw(_RULES),
+        "fact_undated": _star(f"""SELECT * REPLACE (round(Rating_Deviation, 6) AS Rating_Deviation,
+    {int(LOAD_DATE.replace("-", ""))}::INTEGER AS Date_SK), '{LOAD_DATE}' AS Full_Date FROM fact"""),
+        "quintile_cut_errors": _star("""SELECT share, count(*) AS users, true AS within_bound
+FROM dim_user, (SELECT unnest([0.2, 0.4, 0.6, 0.8])::DOUBLE AS share)
+WHERE User_Total_Completed IS NOT NULL GROUP BY share"""),
+        "regression_metrics": _raw(
+            """SELECT round(sqrt(avg(power(score - r.rating, 2))), 6) AS rmse, round(avg(abs(score - r.rating)), 6) AS mae,
+  round(1 - avg(power(score - r.rating, 2)) / nullif(var_pop(score), 0), 6) AS r2
+FROM raw_ratings r JOIN numbers USING (anime_id)""",
+            _NUMBERS,
+        ),
+        "class_confusion": _raw("SELECT actual, predicted, count(*) AS n FROM guessed GROUP BY ALL", _BY_RULE),
+        "classification_metrics": _raw(
+            """SELECT round(avg(CAST(actual = predicted AS INTEGER)), 6) AS accuracy,
+  round(coalesce(2.0::DOUBLE * sum(actual * predicted) / nullif(sum(actual) + sum(predicted), 0), 0), 6) AS f1
+FROM guessed""",
+            _BY_RULE,
+        ),
+        "class_report_by_rule": _raw(
+            f"""SELECT class, {_round(['"precision"', "recall", "f1"])}, support FROM (
+  SELECT class, "precision", recall, f1, support FROM per_class
+  UNION ALL SELECT 'accuracy', accuracy, accuracy, accuracy, n FROM total
+  UNION ALL SELECT 'macro avg', avg("precision"), avg(recall), avg(f1), any_value(n) FROM per_class, total
+  UNION ALL SELECT 'weighted avg', sum("precision" * support) / any_value(n), sum(recall * support) / any_value(n),
+    sum(f1 * support) / any_value(n), any_value(n) FROM per_class, total)""",
+            _REPORT,
+        ),
         "genre_indicators": _titles(_contains("genres", GENRES, "genre")),
         "genre_indicators_exact": _titles(_EXACT_GENRES),
         "studio_indicators": _titles(_contains("studios", STUDIOS, "studio")),

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.functions.casting import to_known_whole
+from ratelens.functions.rules import valid_age_rating, valid_studio
 from ratelens.functions.text import duration_minutes, year_in_text
 from ratelens.functions.vocabulary import AGE_RATINGS, COMPACT_VOCABULARY, GENRES, SOURCES, STUDIOS, TYPES
-from ratelens.operators import behaviour, encoding, profiling, sampling, scaling, statistics
+from ratelens.operators import behaviour, encoding, profiling, sampling, scaling, star, statistics
 from ratelens.plans import features as feature_plans
 from ratelens.plans import training
-from ratelens.plans.business import QUERIES
+from ratelens.plans.business import QUERIES, quintile_cut_errors
 from ratelens.session import scratch_path
 from ratelens.sources import readers, writers
 from ratelens.sources.retail import raw_ratings, raw_titles, raw_users, retail_star, stored_path
@@ -29,7 +30,7 @@ PARAMETERS = {
     "perfect_raters_of_title": {"title": "hot ring"},
 }
 SCALED = ("Members", "Favorites", "Popularity", "Watching", "Completed")
-PROFILED = ("Avg_Score", "Popularity_Rank", "Episodes", "Members", "Favorites")
+LOAD_DATE = "2026-02-03"  # after the default calendar
 USER_SAMPLE = 500
 CLASS_FEATURES = tuple(c for c in feature_plans.classification_columns() if not c.endswith("_normalized"))
 MIN_RATINGS = 10
@@ -75,6 +76,70 @@ def parquet_roundtrip(spark, directory):
     return comparable(readers.load_split(spark, path, "ratings"))
 
 
+def csv_quoted_roundtrip(spark, directory):
+    """Texts with commas, quotes and line breaks, and whether a row had as many fields as the header."""
+    path = scratch_path(spark, "quoted-csv")
+    told = F.concat("Name", F.lit('\nsaid "'), "Genres", F.lit('", twice'))
+    texts = ("Name", "Type", "Source", "Genres", "Studios", "Producers", "Aired", "Duration")
+    writers.write_csv(raw_titles(spark, directory).select("anime_id", *texts, told.alias("Synopsis")), path)
+    read = readers.read_csv(spark, path, {"anime_id": "bigint"}, corrupt_column="__corrupt")
+    return read.withColumn("well_formed", F.col("__corrupt").isNull()).drop("__corrupt")
+
+
+def csv_split(spark, directory):
+    """A split for which only the CSV is there."""
+    path = scratch_path(spark, "csv-split")
+    writers.write_dataset(raw_ratings(spark, directory), f"{path}/ratings", "csv")
+    kinds = {"user_id": "bigint", "anime_id": "bigint", "rating": "int", "rated_on": "date"}
+    return comparable(readers.load_split(spark, path, "ratings", kinds))
+
+
+def fact_undated(spark, directory):
+    """Ratings without a date have the key of the load date, and the calendar has that day."""
+    built = star.build_star(
+        raw_users(spark, directory),
+        raw_titles(spark, directory),
+        raw_ratings(spark, directory).drop("rated_on"),
+        load_date=LOAD_DATE,
+    )
+    return comparable(built.fact.join(built.dim_date.select("Date_SK", "Full_Date"), "Date_SK"))
+
+
+def category_rules(spark, directory):
+    """Titles' age ratings and studios, some replaced by texts that one condition of a rule alone rejects."""
+    key = F.col("anime_id")
+    age = (
+        F.when(key % 8 == 1, "7.5").when(key % 8 == 2, "https://a.example/").when(key % 8 == 3, "R - 17+ 24 min")
+        .when(key % 8 == 4, F.concat(F.lit("G - All Ages"), F.repeat(F.lit("x"), F.lit(60))))
+        .when(key % 8 == 5, "spring 1999").when(key % 8 == 6, "Madhouse").otherwise(F.col("Rating"))
+    )
+    long = lambda n: F.concat(F.repeat(F.lit("a"), F.lit(n)), F.lit(","), F.repeat(F.lit("b"), F.lit(n)))
+    studio = (
+        F.when(key % 5 == 1, F.concat(F.lit("https://s.example/"), key.cast("string")))
+        .when(key % 5 == 2, F.repeat(F.lit("a"), F.lit(120))).when(key % 5 == 3, long(60))
+        .when(key % 5 == 4, long(80)).otherwise(F.col("Studios"))
+    )
+    return raw_titles(spark, directory).select(
+        "anime_id", valid_age_rating(age).alias("age_rating_valid"), valid_studio(studio).alias("studio_valid")
+    )
+
+
+def _ratings_as_predictions(spark, directory):
+    """Each rating taken as a prediction of its title's score."""
+    scored = feature_plans.extract_numbers(raw_titles(spark, directory)).select("anime_id", "Score")
+    rated = raw_ratings(spark, directory).join(scored, "anime_id")
+    return rated.select("Score", F.col("rating").cast("double").alias("prediction"))
+
+
+def _classes_by_rule(spark, directory):
+    """Users of a known class; those with 5,000 completed titles and more are predicted as class 1."""
+    known = _users(spark, directory).filter(F.col("Gender").isin("Male", "Female"))
+    return known.select(
+        F.when(F.col("Gender") == "Female", 1).otherwise(0).alias("gender_encoded"),
+        F.when(F.col("Completed") >= 5000, 1.0).otherwise(0.0).alias("prediction"),
+    )
+
+
 def known_users(spark, directory):
     women = _users(spark, directory).filter(F.col("Gender") == "Female")
     return comparable(readers.ratings_of_known_users(raw_ratings(spark, directory), women))
@@ -198,11 +263,13 @@ def classification_report(spark, directory):
 
 def registered() -> dict[str, Query]:
     """All queries by key."""
-    star = {
+    tables_of_star = {
         "dim_user": _star_table("dim_user"),
         "dim_item": _star_table("dim_anime"),
         "dim_date": _star_table("dim_date"),
         "fact_rating": _star_table("fact"),
+        "fact_undated": fact_undated,
+        "quintile_cut_errors": lambda s, d: quintile_cut_errors(retail_star(s, d)),
     }
     profiles = {
         "dataset_info": lambda s, d: profiling.dataset_info(retail_star(s, d).dim_anime),
@@ -210,15 +277,17 @@ def registered() -> dict[str, Query]:
         "dataset_sample": lambda s, d: comparable(profiling.sample_rows(retail_star(s, d).dim_user, [F.asc("User_SK")])),
         "numeric_stats": lambda s, d: comparable(profiling.numeric_statistics(retail_star(s, d).fact)),
         "numeric_assessment": lambda s, d: comparable(
-            profiling.assess_numeric(profiling.numeric_statistics(retail_star(s, d).dim_anime, PROFILED))
+            profiling.assess_numeric(profiling.numeric_statistics(retail_star(s, d).dim_anime))
         ),
         "quality_report": lambda s, d: comparable(
-            profiling.quality_report(left_titles(s, d).select("user_id", "anime_id", "rating", "Type"))
+            profiling.quality_report(left_titles(s, d))
         ),
     }
     sources = {
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
+        "csv_quoted_roundtrip": csv_quoted_roundtrip,
+        "csv_split": csv_split,
         "ratings_of_known_users": known_users,
         "ratings_left_items": left_titles,
     }
@@ -235,6 +304,7 @@ def registered() -> dict[str, Query]:
             year_in_text(F.col("Aired"), "last").alias("last_year"),
             year_in_text(F.col("Aired"), "first").alias("first_year"),
         ),
+        "category_rules": category_rules,
         "episodes_clean": lambda s, d: _title_text(s, d).select(
             "anime_id", to_known_whole(F.col("Episodes")).alias("episodes_clean")
         ),
@@ -259,9 +329,22 @@ def registered() -> dict[str, Query]:
         "title_collapse": title_collapse,
     }
     models = {
-        "regression_leaderboard": lambda s, d: _trained_regression(s, d).leaderboard,
-        "classification_leaderboard": lambda s, d: _trained_classification(s, d).leaderboard,
+        # Time and status depend on the run, not on the tables.
+        "regression_leaderboard": lambda s, d: _trained_regression(s, d).leaderboard.drop("seconds", "status"),
+        "classification_leaderboard": lambda s, d: _trained_classification(s, d).leaderboard.drop("seconds", "status"),
         "classification_report": classification_report,
     }
+    metrics = {
+        "regression_metrics": lambda s, d: comparable(
+            training.regression_metrics(_ratings_as_predictions(s, d), "Score")
+        ),
+        "class_confusion": lambda s, d: training.confusion(_classes_by_rule(s, d), "gender_encoded"),
+        "classification_metrics": lambda s, d: comparable(
+            training.classification_metrics(_classes_by_rule(s, d), "gender_encoded")
+        ),
+        "class_report_by_rule": lambda s, d: comparable(
+            training.classification_report(_classes_by_rule(s, d), "gender_encoded", {0: "Male", 1: "Female"})
+        ),
+    }
     business = {name: _business(name) for name in QUERIES}
-    return {**star, **business, **sources, **profiles, **encodings, **tables, **models}
+    return {**tables_of_star, **business, **sources, **profiles, **encodings, **tables, **metrics, **models}

@@ -11,8 +11,10 @@ def to_double(column: Column) -> Column:
 
 
 def to_whole(column: Column, kind: str = "int") -> Column:
-    """Whole number from ``12`` as well as ``12.0``."""
-    return F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind))
+    """Whole number from ``12`` as well as ``12.0``; a value with a fraction is none."""
+    number = column.try_cast("double")
+    whole = F.coalesce(column.try_cast(kind), number.try_cast(kind))
+    return F.when(number.isNull() | (number == F.rint(number)), whole)
 
 
 def to_known_whole(column: Column, unknown: str = "Unknown", kind: str = "int") -> Column:

@@ -257,10 +257,43 @@ def user_quintiles(star: Star, buckets: int = 5) -> DataFrame:
     return ntile(_completed(star), buckets, order, "quintile")
 
 
+#: Shares of the users below the cut points of quintiles, and the sketch's accuracy: ranks are off by at most 1 / it.
+QUINTILE_SHARES = (0.2, 0.4, 0.6, 0.8)
+SKETCH_ACCURACY = 10_000
+
+
+def _quintile_cuts(users: DataFrame) -> DataFrame:
+    return users.agg(
+        F.percentile_approx("User_Total_Completed", list(QUINTILE_SHARES), SKETCH_ACCURACY).alias("cuts")
+    )
+
+
+def quintile_cut_errors(star: Star) -> DataFrame:
+    """For each approximate cut point: users, and whether its exact rank is as near as the sketch promises."""
+    users = _completed(star)
+    cuts, value = _quintile_cuts(users).scalar(), F.col("User_Total_Completed")
+    marked = users.withColumn("__cuts", cuts)
+    sums = [F.count("*").alias("users")]
+    for i in range(len(QUINTILE_SHARES)):
+        cut = F.col("__cuts")[i]
+        sums += [F.count_if(value < cut).alias(f"below{i}"), F.count_if(value <= cut).alias(f"upto{i}")]
+    n = F.col("users")
+    slack = n / SKETCH_ACCURACY + 1
+    rows = [
+        F.struct(
+            F.lit(share).alias("share"),
+            n,
+            ((F.col(f"below{i}") <= n * share + slack) & (F.col(f"upto{i}") >= n * share - slack)).alias("within_bound"),
+        )
+        for i, share in enumerate(QUINTILE_SHARES)
+    ]
+    return marked.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def user_quintiles_approx(star: Star) -> DataFrame:
     """Quintiles by four approximate cut points: one mergeable sketch and no sort; ties share a bucket."""
     users = _completed(star)
-    cuts = users.agg(F.percentile_approx("User_Total_Completed", [0.2, 0.4, 0.6, 0.8], 10000).alias("cuts"))
+    cuts = _quintile_cuts(users)
     value, cut = F.col("User_Total_Completed"), F.col("__cuts")
     quintile = (
         F.when(value >= cut[3], 1).when(value >= cut[2], 2).when(value >= cut[1], 3).when(value >= cut[0], 4)

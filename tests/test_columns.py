@@ -33,7 +33,7 @@ def test_year(spark, text, first, last):
     assert evaluate(spark, text, lambda c: year_in_text(c, "last")) == last
 
 
-@pytest.mark.parametrize("text, number", [("12", 12), ("12.0", 12), ("UNKNOWN", None), ("", None), (None, None)])
+@pytest.mark.parametrize("text, number", [("12", 12), ("12.0", 12), ("7.9", None), ("UNKNOWN", None), ("", None), (None, None)])
 def test_whole_numbers(spark, text, number):
     assert evaluate(spark, text, to_whole) == number
     assert evaluate(spark, text, to_known_whole) == number
