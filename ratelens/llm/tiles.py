@@ -16,6 +16,7 @@ TILE_ROWS = 16_384
 _BLOCK = 1 << 18  # comparisons made at once: their numpy arrays stay in the processor's cache
 _MANY = 1_000_000  # links held before they are thinned to a forest
 _SIZE_STEP = 0.05
+_TOGETHER = 32  # nodes of either side whose links form a block
 
 
 def layers(a: np.ndarray, b: np.ndarray, distance: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,24 +52,13 @@ def layers(a: np.ndarray, b: np.ndarray, distance: np.ndarray, count: int) -> tu
     return np.concatenate(kept), np.concatenate(layer)
 
 
-def compare(left, right, radius: int, ratio: float | None, same: bool, count: int = 1):
-    """Layers of the links between two tiles: arrays of both nodes, the number of differing bits, and the layer.
-
-    A tile is (nodes, words, sizes); words has a row for each fingerprint, as 64-bit words. Two rows link if
-    at most ``radius`` bits differ and, with a ``ratio``, the smaller size is at least that share of the larger.
-    """
+def _linked(left, right, radius: int, ratio: float | None, same: bool, first: int = 0) -> Iterator[tuple]:
+    """Rows of both tiles that link and the number of differing bits, from row ``first`` of ``left`` on, in blocks; and
+    the row at which the next block begins."""
     (nodes_a, words_a, sizes_a), (nodes_b, words_b, sizes_b) = left, right
     columns = [np.ascontiguousarray(words_b[:, w]) for w in range(words_b.shape[1])]
-    parts: list[tuple] = []
-    held = 0
-
-    def thinned():
-        a, b, d = (np.concatenate(x) for x in zip(*parts))
-        keep, layer = layers(a, b, d, count)
-        return a[keep], b[keep], d[keep], layer
-
     step = max(1, _BLOCK // max(1, len(nodes_b)))
-    for start in range(0, len(nodes_a), step):
+    for start in range(first, len(nodes_a), step):
         rows = words_a[start : start + step]
         differing = np.bitwise_count(rows[:, :1] ^ columns[0][None, :])
         if len(columns) > 1:
@@ -82,15 +72,63 @@ def compare(left, right, radius: int, ratio: float | None, same: bool, count: in
         if ratio is not None and len(i):
             x, y = sizes_a[i], sizes_b[j]
             keep &= np.minimum(x, y) >= ratio * np.maximum(x, y) - 1e-9
-        if keep.any():
-            parts.append((nodes_a[i[keep]], nodes_b[j[keep]], d[keep]))
-            held += int(keep.sum())
+        yield i[keep], j[keep], d[keep], min(start + step, len(nodes_a))
+
+
+def _nothing():
+    return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+
+
+def compare(left, right, radius: int, ratio: float | None, same: bool, count: int = 1):
+    """Layers of the links between two tiles: arrays of both nodes, the number of differing bits, and the layer; and
+    whether these are all links.
+
+    A tile is (nodes, words, sizes); words has a row for each fingerprint, as 64-bit words. Two rows link if
+    at most ``radius`` bits differ and, with a ``ratio``, the smaller size is at least that share of the larger.
+    """
+    parts: list[tuple] = []
+    held, whole = 0, True
+
+    def thinned():
+        nonlocal whole
+        a, b, d = (np.concatenate(x) for x in zip(*parts))
+        keep, layer = layers(a, b, d, count)
+        whole = whole and len(keep) == len(a)
+        return a[keep], b[keep], d[keep], layer
+
+    for i, j, d, _ in _linked(left, right, radius, ratio, same):
+        if len(i):
+            parts.append((left[0][i], right[0][j], d))
+            held += len(i)
             if held > _MANY:
                 parts[:] = [thinned()[:3]]
                 held = 0
+    found = thinned() if parts else _nothing()
+    return found, whole
+
+
+def sweep(left, right, radius: int, ratio: float | None, same: bool, labels, first: int, limit: int):
+    """The links between two tiles, from row ``first`` of ``left`` on, whose ends have different labels; layer 1 is a
+    forest of what they join, the others are layer 2. Ends with the block in which there are ``limit`` of them.
+
+    ``labels`` has an array for each tile. Also returns the row to go on from, or -1 at the end.
+    """
+    parts: list[tuple] = []
+    held, at = 0, len(left[0])
+    for i, j, d, following in _linked(left, right, radius, ratio, same, first):
+        apart = labels[0][i] != labels[1][j]
+        if apart.any():
+            parts.append((i[apart], j[apart], d[apart]))
+            held += int(apart.sum())
+            if held >= limit:
+                at = following
+                break
     if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
-    return thinned()
+        return _nothing(), -1
+    i, j, d = (np.concatenate(x) for x in zip(*parts))
+    layer = np.full(len(i), 2, np.int32)
+    layer[layers(labels[0][i], labels[1][j], d, 1)[0]] = 1
+    return (left[0][i], right[0][j], d, layer), at if at < len(left[0]) else -1
 
 
 def _unpacked(rows: pa.StructArray, width: int):
@@ -98,21 +136,17 @@ def _unpacked(rows: pa.StructArray, width: int):
     return fields[0], np.stack([f.view(np.uint64) for f in fields[1:-1]], axis=1), fields[-1]
 
 
-def tiled_links(
-    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS,
-    count: int = 1,
-) -> DataFrame:
-    """Links of ``prints(node, size, *words)`` as ``(src, dst, distance, layer)``; ``node`` is a unique long.
+def tile_pairs(
+    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Tiles ``(pop, band, part, rows)`` of ``prints(node, size, *words)``, and the sides ``(pair, side, pop, band, part)``
+    of the pairs of tiles to be compared; ``node`` is a unique long.
 
     Rows are dealt to tiles by population count, and by size where a ``ratio`` bounds it; a class of
     counts is cut by hash into tiles of about ``tile_rows``. Tile pairs whose population counts differ by more
-    than ``radius`` bits (or whose sizes can't meet the ratio) are never paired; all others are compared in
-    full, pair by pair in tasks of their own. Of the links inside one tile pair ``count`` layers of spanning forests
-    are returned. The first keeps who reaches whom, at every distance up to the radius, without listing all pairs
-    of a large group; more of them are for callers that go on to check links. Empty input gives no link.
+    than ``radius`` bits (or whose sizes can't meet the ratio) are never paired.
     """
     spark = prints.sparkSession
-    width = len(words)
     pop_step = max(1, radius // 2)
     pop_reach = math.ceil(radius / pop_step)
     size_reach = math.ceil(-math.log(ratio) / _SIZE_STEP + 1e-9) if ratio is not None else 0
@@ -148,15 +182,100 @@ def tiled_links(
     second = F.struct(F.col("pop2").alias("pop"), F.col("band2").alias("band"), F.col("part2").alias("part"))
     sides = pairs.select(
         F.concat_ws(":", "pop", "band", "part", "pop2", "band2", "part2").alias("pair"),
-        F.explode(F.array_distinct(F.array(F.struct("pop", "band", "part"), second))).alias("t"),
-    ).select("pair", "t.pop", "t.band", "t.part")
+        F.posexplode(F.array_distinct(F.array(F.struct("pop", "band", "part"), second))).alias("side", "t"),
+    ).select("pair", "side", "t.pop", "t.band", "t.part")
+    return tiles, sides
+
+
+_TILE = ["pop", "band", "part"]
+_FOUND = "pair string, src bigint, dst bigint, distance int, layer int, block string, start int"
+
+
+def _found_table(pair: str, found, start: int) -> pa.Table:
+    """``found`` as rows, and with a ``start`` of 0 or more a row of layer 0 that says where to go on.
+
+    A block names links between the same few nodes, so that a check of them needs each node's text once.
+    """
+    rows = len(found[0])
+    a, b = (np.unique(ends, return_inverse=True)[1] // _TOGETHER for ends in found[:2])
+    columns = [pa.array([pair] * rows, pa.string())]
+    columns += [pa.array(x, k) for x, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+    columns += [pa.array([f"{pair}:{x}:{y}" for x, y in zip(a.tolist(), b.tolist())], pa.string()), pa.nulls(rows, pa.int32())]
+    table = pa.table(columns, names=["pair", "src", "dst", "distance", "layer", "block", "start"])
+    if start < 0:
+        return table
+    more = dict.fromkeys(table.column_names, [None]) | {"pair": [pair], "layer": [0], "start": [start]}
+    return pa.concat_tables([table, pa.table(more, schema=table.schema)])
+
+
+def forests(
+    tiles: DataFrame, sides: DataFrame, words: int, radius: int, ratio: float | None = None, count: int = 1
+) -> DataFrame:
+    """``(pair, src, dst, distance, layer, block, start)``: ``count`` layers of spanning forests of the links in each tile pair.
+
+    A tile pair with more links than these has another row, of layer 0.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        sides = [_unpacked(tile.values, width) for tile in group.column("rows")]
-        found = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1, count)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.table([pa.array(x, k) for x, k in zip(found, kinds)], names=["src", "dst", "distance", "layer"])
+        group = group.sort_by("side")
+        sides = [_unpacked(tile.values, words) for tile in group.column("rows")]
+        found, whole = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1, count)
+        return _found_table(group.column("pair")[0].as_py(), found, -1 if whole else 0)
+
+    return sides.join(tiles, _TILE).select("pair", "side", "rows").groupBy("pair").applyInArrow(run, _FOUND)
+
 
-    return sides.join(tiles, ["pop", "band", "part"]).select("pair", "rows").groupBy("pair").applyInArrow(
-        run, "src bigint, dst bigint, distance int, layer int"
+def links_apart(
+    tiles: DataFrame, sides: DataFrame, begun: DataFrame, roots: DataFrame, words: int, radius: int, ratio: float | None,
+    limit: int,
+) -> DataFrame:
+    """``(pair, src, dst, distance, layer, block, start)``: links that join different ``roots(node, root)``, in the tile pairs of
+    ``begun(pair, start)`` from that row on.
+
+    Each tile pair ends with about ``limit`` of them; one that is not through has another row, of layer 0, with the row
+    to go on from. A node without a root is its own.
+    """
+    begun = sides.join(begun, "pair")
+    used = tiles.join(begun.select(*_TILE).distinct(), _TILE)
+    labels = (
+        used.select(*_TILE, F.explode("rows.node").alias("node"))
+        .join(roots.filter("node <> root"), "node")
+        .groupBy(*_TILE)
+        .agg(F.collect_list(F.struct("node", "root")).alias("labels"))
     )
+    both = begun.join(used, _TILE).join(labels, _TILE, "left").select("pair", "side", "start", "rows", "labels")
+
+    def labelled(nodes: np.ndarray, known) -> np.ndarray:
+        out = nodes.copy()
+        if known.is_valid and len(known.values):
+            node, root = (known.values.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            order = np.argsort(nodes)
+            out[order[np.searchsorted(nodes, node, sorter=order)]] = root
+        return out
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("side")
+        sides = [_unpacked(tile.values, words) for tile in group.column("rows")]
+        labels = [labelled(side[0], known) for side, known in zip(sides, group.column("labels"))]
+        found, start = sweep(
+            sides[0], sides[-1], radius, ratio, len(sides) == 1, (labels[0], labels[-1]),
+            group.column("start")[0].as_py(), limit,
+        )
+        return _found_table(group.column("pair")[0].as_py(), found, start)
+
+    return both.groupBy("pair").applyInArrow(run, _FOUND)
+
+
+def tiled_links(
+    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS,
+    count: int = 1,
+) -> DataFrame:
+    """Links of ``prints(node, size, *words)`` as ``(src, dst, distance, layer)``; ``node`` is a unique long.
+
+    The pairs of ``tile_pairs`` are compared in full, pair by pair in tasks of their own. Of the links inside one tile
+    pair ``count`` layers of spanning forests are returned. The first keeps who reaches whom, at every distance up to the
+    radius, without listing all pairs of a large group. Empty input gives no link.
+    """
+    tiles, sides = tile_pairs(prints, words, radius, ratio, tile_rows)
+    found = forests(tiles, sides, len(words), radius, ratio, count)
+    return found.filter("layer > 0").select("src", "dst", "distance", "layer")

@@ -112,6 +112,48 @@ def test_components_of_a_chain(spark):
     assert found == {k: 0 for k in range(n + 1)} | {200: 200, 201: 200}
 
 
+def below_the_likeness(seed=0):
+    """Texts of one template that are just below the likeness to each other, and a few pairs just above it."""
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(104)]
+    out = []
+    for pair in range(45):
+        shared = [f"p{pair}w{k}" for k in range(4)] if pair % 3 == 0 else []
+        for side in range(2):
+            out.append(" ".join(template + shared + [f"o{pair}s{side}w{k}" for k in range(13 - len(shared))]))
+    rng.shuffle(out)
+    return out
+
+
+def test_links_below_the_likeness_hide_none_above(spark):
+    texts = below_the_likeness()
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    pairs = [len(a & b) / len(a | b) for k, a in enumerate(sets) for b in sets[:k]]
+    assert sum(x >= 0.8 for x in pairs) == 15 and sum(0.78 < x < 0.8 for x in pairs) == len(pairs) - 15
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    roots = plain_groups(len(texts), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(df).collect()}
+    assert kept == {k for k, root in enumerate(roots) if root == k}
+
+
+def test_sweep_goes_on_where_it_ended(monkeypatch):
+    monkeypatch.setattr(tiles, "_BLOCK", 64)
+    rng = np.random.default_rng(2)
+    tile = [(np.arange(n, n + 40), rng.integers(0, 16, (40, 1)).astype(np.uint64), np.ones(40)) for n in (0, 100)]
+    for right, same in ((tile[1], False), (tile[0], True)):
+        labels = (tile[0][0] // 3, right[0] // 3)
+        got, start, rounds = [], 0, 0
+        while start >= 0:
+            (a, b, _, layer), start = tiles.sweep(tile[0], right, 1, None, same, labels, start, 5)
+            got += zip(a.tolist(), b.tolist())
+            rounds += 1
+        plain = [
+            (int(a), int(b)) for i, a in enumerate(tile[0][0]) for j, b in enumerate(right[0])
+            if (i < j or not same) and a // 3 != b // 3 and bin(int(tile[0][1][i, 0]) ^ int(right[1][j, 0])).count("1") <= 1
+        ]
+        assert rounds > 3 and sorted(got) == sorted(plain)
+
+
 def test_layers_keep_the_nearest_links():
     a, b, d = np.array([1, 2, 1]), np.array([2, 3, 3]), np.array([2, 1, 1])
     kept, layer = tiles.layers(a, b, d, 1)
