@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from ratelens.llm.common import id_and_text, lower_ascii, map_batches, one_per_key, row_keys, store, texts
 from ratelens.llm.components import components
-from ratelens.llm.tiles import forests, links_apart, tile_pairs, tiled_links
+from ratelens.llm.tiles import confirmed_links, near_nodes, tile_pairs, tiled_links
 
 SEED = 42
 #: Near-duplicate removal: five-word shingles, likeness 0.8, four 64-bit words. At likeness 0.8 a bit differs with
-#: probability acos(0.8 / 0.9) / pi = 0.151, so 38.8 of 256 with deviation 5.7; 56 is three deviations above.
-SHINGLE, LIKENESS, WORDS, RADIUS = 5, 0.8, 4, 56
-LAYERS = 8
-SWEEP, SWEEP_MOST = 1 << 16, 1 << 20  # links of a tile pair that are checked in one round
+#: probability acos(0.8 / 0.9) / pi = 0.151, so 38.8 of 256 with deviation 5.7; 64 is more than four deviations above,
+#: which leaves room for short texts, where few shingles decide a bit and more bits differ.
+SHINGLE, LIKENESS, WORDS, RADIUS = 5, 0.8, 4, 64
 _SUMMED = 255  # rows whose bits add up in one byte
 
 
@@ -127,43 +126,14 @@ def _profiles(df: DataFrame, size: int, words: int) -> DataFrame:
     return map_batches(df.select("id", "digest", "text"), run, schema)
 
 
-def _confirmed(links: DataFrame, members: DataFrame, size: int, likeness: float) -> DataFrame:
-    """Those ``links(src, dst, block)`` whose shingle sets have at least that Jaccard likeness; ``members`` is (node, text).
+def shingle_sets(members: DataFrame, size: int) -> DataFrame:
+    """``members(node, text)`` with the sorted distinct hashes of the text's shingles, as bytes, in place of the text."""
 
-    A block's links are checked together, so that a node's text goes once to each block and not to each link.
-    """
-    ends = links.select("block", F.explode(F.array("src", "dst")).alias("node")).distinct()
-    sets = ends.join(members, "node").select(F.col("block").alias("at"), "node", "text")
-
-    def run(links: pa.Table, group: pa.Table) -> pa.Table:
-        known = {
-            node.as_py(): np.unique(shingle_hashes(text.as_py(), size))
-            for node, text in zip(group.column("node"), group.column("text"))
-        }
-        keep = []
-        for src, dst in zip(links.column("src").to_pylist(), links.column("dst").to_pylist()):
-            a, b = known[src], known[dst]
-            shared = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(shared >= likeness * (len(a) + len(b) - shared) - 1e-9)
-        return links.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
-
-    links = links.select("block", "src", "dst")
-    return links.groupBy("block").cogroup(sets.groupBy("at")).applyInArrow(run, "src bigint, dst bigint")
-
-
-def _joined(links: DataFrame, roots: DataFrame | None, members: DataFrame, size: int, likeness: float) -> DataFrame:
-    """``roots(node, root)`` after a check of ``links(src, dst, layer)``: those of layer 1, and then what is left apart."""
-    for layers in ("layer = 1", "layer > 1"):
-        some = links.filter(layers)
-        if roots is not None:
-            src, dst = (roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in ("src", "dst"))
-            some = some.join(src, "src", "left").join(dst, "dst", "left")
-            some = some.filter(F.coalesce("src_root", "src") != F.coalesce("dst_root", "dst"))
-        joined = store(_confirmed(some, members, size, likeness), "near-confirmed")
-        if roots is not None:
-            joined = joined.union(roots.select("node", "root"))
-        roots = components(joined)
-    return roots
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = [np.unique(shingle_hashes(text, size)).tobytes() for text in texts(batch)]
+        return pa.record_batch({"node": batch.column("node"), "hashes": pa.array(hashes, pa.binary())})
+
+    return map_batches(members.select("node", "text"), run, "node bigint, hashes binary")
 
 
 def drop_near_duplicates(
@@ -179,10 +149,10 @@ def drop_near_duplicates(
 
     Texts with equal shingle sets are one class. Classes link if their fingerprints (``words`` times 64 bits)
     differ in at most ``radius`` bits, their numbers of shingles allow the likeness, and their shingle sets have
-    it; a group is what links connect. Links are confirmed nearest first, in LAYERS layers of spanning forests, the
-    later ones only between what the first has left apart. Tile pairs with more links are then gone through in rounds,
-    until every link is checked or inside a group. Texts without words are one group; so are repeated rows. A null id
-    sorts before others. Columns are those of ``df``; an empty table stays empty.
+    it; a group is what links connect. Fingerprints are compared first, tile by tile; then the shingle sets of classes
+    with a candidate go to the tile pairs in which they have one, where likeness is tested exactly unless two classes
+    are in one group already, and only a forest of the links comes out. Texts without words are one group; so are
+    repeated rows. A null id sorts before others. Columns are those of ``df``; an empty table stays empty.
     """
     keyed = row_keys(df, id_col, text_col)
     source = id_and_text(df, id_col, text_col).withColumn("digest", F.md5(F.encode("text", "utf-8")))
@@ -197,19 +167,14 @@ def drop_near_duplicates(
     )
     tiles, sides = tile_pairs(classes, prints, radius, likeness)
     sides = store(sides, "near-sides")
-    found = store(forests(tiles, sides, words, radius, likeness, LAYERS), "near-links")
-    links = found.filter("layer > 0")
-    linked = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    heads = linked.join(classes, "node").select("node", F.col("first.id").alias("id"), F.col("first.digest").alias("digest"))
+    near = store(near_nodes(tiles, sides, words, radius, likeness), "near-nodes")
+    heads = near.select("node").distinct().join(classes, "node")
+    heads = heads.select("node", "size", *prints, F.col("first.id").alias("id"), F.col("first.digest").alias("digest"))
     same = source["id"].eqNullSafe(heads["id"]) & (source["digest"] == heads["digest"])
-    members = store(source.join(heads, same).select("node", "text").dropDuplicates(["node"]), "near-members")
-    roots = _joined(links, None, members, size, likeness)
-    begun, limit = found.filter("layer = 0").select("pair", "start"), SWEEP
-    while begun.limit(1).count():
-        found = store(links_apart(tiles, sides, begun, roots, words, radius, likeness, limit), "near-apart")
-        new = found.filter("layer > 0").join(links.select("src", "dst"), ["src", "dst"], "left_anti")
-        roots = _joined(new, roots, members, size, likeness)
-        begun, limit = found.filter("layer = 0").select("pair", "start"), min(2 * limit, SWEEP_MOST)
+    members = source.join(heads, same).select("node", "text").dropDuplicates(["node"])
+    sets = store(shingle_sets(members, size), "near-sets").join(heads.drop("id", "digest"), "node")
+    links = store(confirmed_links(near, sets, prints, radius, likeness), "near-links")
+    roots = components(links)
     kept = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = kept.groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.id").alias("__kept_id"), F.col("first.digest").alias("__kept_digest"))

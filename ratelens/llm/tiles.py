@@ -7,16 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.llm.common import store
 
-TILE_ROWS = 16_384
+TILE_ROWS, TILE_SIZE = 16_384, 1 << 21
 _BLOCK = 1 << 18  # comparisons made at once: their numpy arrays stay in the processor's cache
 _MANY = 1_000_000  # links held before they are thinned to a forest
 _SIZE_STEP = 0.05
-_TOGETHER = 32  # nodes of either side whose links form a block
+_TILE = ["pop", "band", "part"]
+_TESTED = 1 << 20  # hashes looked up in one test of candidates
 
 
 def layers(a: np.ndarray, b: np.ndarray, distance: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,13 +54,12 @@ def layers(a: np.ndarray, b: np.ndarray, distance: np.ndarray, count: int) -> tu
     return np.concatenate(kept), np.concatenate(layer)
 
 
-def _linked(left, right, radius: int, ratio: float | None, same: bool, first: int = 0) -> Iterator[tuple]:
-    """Rows of both tiles that link and the number of differing bits, from row ``first`` of ``left`` on, in blocks; and
-    the row at which the next block begins."""
+def _linked(left, right, radius: int, ratio: float | None, same: bool) -> Iterator[tuple]:
+    """Rows of both tiles that link and the number of differing bits, in blocks."""
     (nodes_a, words_a, sizes_a), (nodes_b, words_b, sizes_b) = left, right
     columns = [np.ascontiguousarray(words_b[:, w]) for w in range(words_b.shape[1])]
     step = max(1, _BLOCK // max(1, len(nodes_b)))
-    for start in range(first, len(nodes_a), step):
+    for start in range(0, len(nodes_a), step):
         rows = words_a[start : start + step]
         differing = np.bitwise_count(rows[:, :1] ^ columns[0][None, :])
         if len(columns) > 1:
@@ -72,7 +73,7 @@ def _linked(left, right, radius: int, ratio: float | None, same: bool, first: in
         if ratio is not None and len(i):
             x, y = sizes_a[i], sizes_b[j]
             keep &= np.minimum(x, y) >= ratio * np.maximum(x, y) - 1e-9
-        yield i[keep], j[keep], d[keep], min(start + step, len(nodes_a))
+        yield i[keep], j[keep], d[keep]
 
 
 def _nothing():
@@ -80,55 +81,27 @@ def _nothing():
 
 
 def compare(left, right, radius: int, ratio: float | None, same: bool, count: int = 1):
-    """Layers of the links between two tiles: arrays of both nodes, the number of differing bits, and the layer; and
-    whether these are all links.
+    """Layers of the links between two tiles: arrays of both nodes, the number of differing bits, and the layer.
 
     A tile is (nodes, words, sizes); words has a row for each fingerprint, as 64-bit words. Two rows link if
     at most ``radius`` bits differ and, with a ``ratio``, the smaller size is at least that share of the larger.
     """
     parts: list[tuple] = []
-    held, whole = 0, True
+    held = 0
 
     def thinned():
-        nonlocal whole
         a, b, d = (np.concatenate(x) for x in zip(*parts))
         keep, layer = layers(a, b, d, count)
-        whole = whole and len(keep) == len(a)
         return a[keep], b[keep], d[keep], layer
 
-    for i, j, d, _ in _linked(left, right, radius, ratio, same):
+    for i, j, d in _linked(left, right, radius, ratio, same):
         if len(i):
             parts.append((left[0][i], right[0][j], d))
             held += len(i)
             if held > _MANY:
                 parts[:] = [thinned()[:3]]
                 held = 0
-    found = thinned() if parts else _nothing()
-    return found, whole
-
-
-def sweep(left, right, radius: int, ratio: float | None, same: bool, labels, first: int, limit: int):
-    """The links between two tiles, from row ``first`` of ``left`` on, whose ends have different labels; layer 1 is a
-    forest of what they join, the others are layer 2. Ends with the block in which there are ``limit`` of them.
-
-    ``labels`` has an array for each tile. Also returns the row to go on from, or -1 at the end.
-    """
-    parts: list[tuple] = []
-    held, at = 0, len(left[0])
-    for i, j, d, following in _linked(left, right, radius, ratio, same, first):
-        apart = labels[0][i] != labels[1][j]
-        if apart.any():
-            parts.append((i[apart], j[apart], d[apart]))
-            held += int(apart.sum())
-            if held >= limit:
-                at = following
-                break
-    if not parts:
-        return _nothing(), -1
-    i, j, d = (np.concatenate(x) for x in zip(*parts))
-    layer = np.full(len(i), 2, np.int32)
-    layer[layers(labels[0][i], labels[1][j], d, 1)[0]] = 1
-    return (left[0][i], right[0][j], d, layer), at if at < len(left[0]) else -1
+    return thinned() if parts else _nothing()
 
 
 def _unpacked(rows: pa.StructArray, width: int):
@@ -137,13 +110,14 @@ def _unpacked(rows: pa.StructArray, width: int):
 
 
 def tile_pairs(
-    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS
+    prints: DataFrame, words: list[str], radius: int, ratio: float | None = None, tile_rows: int = TILE_ROWS,
+    tile_size: int = TILE_SIZE,
 ) -> tuple[DataFrame, DataFrame]:
     """Tiles ``(pop, band, part, rows)`` of ``prints(node, size, *words)``, and the sides ``(pair, side, pop, band, part)``
     of the pairs of tiles to be compared; ``node`` is a unique long.
 
     Rows are dealt to tiles by population count, and by size where a ``ratio`` bounds it; a class of
-    counts is cut by hash into tiles of about ``tile_rows``. Tile pairs whose population counts differ by more
+    counts is cut by hash into tiles of about ``tile_rows`` whose sizes sum up to about ``tile_size``. Tile pairs whose population counts differ by more
     than ``radius`` bits (or whose sizes can't meet the ratio) are never paired.
     """
     spark = prints.sparkSession
@@ -157,7 +131,8 @@ def tile_pairs(
         F.floor(population / pop_step).cast("int").alias("pop"), size_band.cast("int").alias("band"),
     )
     # One row for each population count and size class: bounded by their number, whatever the corpus holds.
-    counts = keyed.groupBy("pop", "band").count().withColumn("parts", F.ceil(F.col("count") / tile_rows).cast("int"))
+    parts = F.ceil(F.greatest(F.count("*") / tile_rows, F.sum("size") / tile_size)).cast("int")
+    counts = keyed.groupBy("pop", "band").agg(parts.alias("parts"))
     rows = [(r["pop"], r["band"], r["parts"]) for r in counts.collect()]
     shares = spark.createDataFrame(rows, "pop int, band int, parts int")
     tiles = store(
@@ -181,89 +156,125 @@ def tile_pairs(
     )
     second = F.struct(F.col("pop2").alias("pop"), F.col("band2").alias("band"), F.col("part2").alias("part"))
     sides = pairs.select(
-        F.concat_ws(":", "pop", "band", "part", "pop2", "band2", "part2").alias("pair"),
+        F.concat_ws(":", *_TILE, "pop2", "band2", "part2").alias("pair"),
         F.posexplode(F.array_distinct(F.array(F.struct("pop", "band", "part"), second))).alias("side", "t"),
     ).select("pair", "side", "t.pop", "t.band", "t.part")
     return tiles, sides
 
 
 _TILE = ["pop", "band", "part"]
-_FOUND = "pair string, src bigint, dst bigint, distance int, layer int, block string, start int"
-
-
-def _found_table(pair: str, found, start: int) -> pa.Table:
-    """``found`` as rows, and with a ``start`` of 0 or more a row of layer 0 that says where to go on.
-
-    A block names links between the same few nodes, so that a check of them needs each node's text once.
-    """
-    rows = len(found[0])
-    a, b = (np.unique(ends, return_inverse=True)[1] // _TOGETHER for ends in found[:2])
-    columns = [pa.array([pair] * rows, pa.string())]
-    columns += [pa.array(x, k) for x, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
-    columns += [pa.array([f"{pair}:{x}:{y}" for x, y in zip(a.tolist(), b.tolist())], pa.string()), pa.nulls(rows, pa.int32())]
-    table = pa.table(columns, names=["pair", "src", "dst", "distance", "layer", "block", "start"])
-    if start < 0:
-        return table
-    more = dict.fromkeys(table.column_names, [None]) | {"pair": [pair], "layer": [0], "start": [start]}
-    return pa.concat_tables([table, pa.table(more, schema=table.schema)])
-
-
-def forests(
-    tiles: DataFrame, sides: DataFrame, words: int, radius: int, ratio: float | None = None, count: int = 1
-) -> DataFrame:
-    """``(pair, src, dst, distance, layer, block, start)``: ``count`` layers of spanning forests of the links in each tile pair.
-
-    A tile pair with more links than these has another row, of layer 0.
-    """
+def near_nodes(tiles: DataFrame, sides: DataFrame, words: int, radius: int, ratio: float | None = None) -> DataFrame:
+    """``(pair, side, node)``: the nodes of each side of a tile pair that have a link in it; one row for each at most."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("side")
         sides = [_unpacked(tile.values, words) for tile in group.column("rows")]
-        found, whole = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1, count)
-        return _found_table(group.column("pair")[0].as_py(), found, -1 if whole else 0)
-
-    return sides.join(tiles, _TILE).select("pair", "side", "rows").groupBy("pair").applyInArrow(run, _FOUND)
+        left, right = sides[0], sides[-1]
+        linked = [np.zeros(len(side[0]), bool) for side in sides]
+        for i, j, _ in _linked(left, right, radius, ratio, len(sides) == 1):
+            linked[0][i] = True
+            linked[-1][j] = True
+        nodes = [side[0][own] for side, own in zip(sides, linked)]
+        number = sum(map(len, nodes))
+        return pa.table({
+            "pair": pa.array([group.column("pair")[0].as_py()] * number, pa.string()),
+            "side": pa.array(np.repeat(np.arange(len(nodes)), [len(n) for n in nodes]), pa.int32()),
+            "node": pa.array(np.concatenate(nodes), pa.int64()),
+        })
+
+    both = sides.join(tiles, _TILE).select("pair", "side", "rows")
+    return both.groupBy("pair").applyInArrow(run, "pair string, side int, node bigint")
+
+
+class _Sets:
+    """Sorted hashes of rows end to end, as dense numbers common to the two sides that are compared."""
+
+    def __init__(self, left: list[np.ndarray], right: list[np.ndarray]):
+        sizes = [np.array([len(x) for x in side], np.int64) for side in (left, right)]
+        empty = np.empty(0, np.uint64)
+        every, self.number = np.unique(np.concatenate([empty, *left, *right]), return_inverse=True)
+        self.kinds = len(every)
+        cut = int(sizes[0].sum())
+        self.sizes = sizes
+        self.begins = np.cumsum(sizes[0]) - sizes[0]
+        # Rows in order and hashes in order inside a row: the codes of the right side are sorted as they are.
+        self.codes = np.repeat(np.arange(len(right)), sizes[1]) * self.kinds + self.number[cut:]
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """How many hashes row ``i`` of the left and row ``j`` of the right have in common."""
+        n = self.sizes[0][i]
+        ends = np.cumsum(n)
+        of = np.repeat(np.arange(len(i)), n)
+        at = np.arange(int(n.sum())) - np.repeat(ends - n - self.begins[i], n)
+        wanted = j[of] * self.kinds + self.number[at]
+        place = np.minimum(np.searchsorted(self.codes, wanted), max(0, len(self.codes) - 1))
+        return np.bincount(of[self.codes[place] == wanted], minlength=len(i)) if len(self.codes) else np.zeros(len(i), int)
+
+
+def confirmed(left, right, radius: int, likeness: float, same: bool) -> tuple[list, list]:
+    """Nodes of both ends of a forest of the links between two sides whose sets of hashes have that Jaccard likeness.
+
+    A side is (nodes, words, sizes, sets). A candidate is within ``radius`` bits; it is tested only if nothing found so
+    far joins its ends, nearest first, so a group of copies takes few tests and gives one link for each node but one.
+    """
+    sets = _Sets(left[3], right[3])
+    parent = np.arange(len(left[0]) + (0 if same else len(right[0])))
+    shift = 0 if same else len(left[0])
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def flatten():
+        while (up := parent[parent]).tolist() != parent.tolist():
+            parent[:] = up
+
+    src, dst = [], []
+    for i, j, distance in _linked(left[:3], right[:3], radius, likeness, same):
+        order = np.argsort(distance, kind="stable")
+        i, j = i[order], j[order]
+        while len(i):
+            flatten()
+            apart = parent[i] != parent[j + shift]
+            i, j = i[apart], j[apart]
+            most = max(1, int(np.searchsorted(np.cumsum(sets.sizes[0][i]), _TESTED)))
+            x, y, i, j = i[:most], j[:most], i[most:], j[most:]
+            if not len(x):
+                break
+            common = sets.shared(x, y)
+            good = common >= likeness * (sets.sizes[0][x] + sets.sizes[1][y] - common) - 1e-9
+            for a, b in zip(x[good].tolist(), y[good].tolist()):
+                if (up := root(a)) != (down := root(b + shift)):
+                    parent[max(up, down)] = min(up, down)
+                    src.append(int(left[0][a]))
+                    dst.append(int(right[0][b]))
+    return src, dst
 
 
-def links_apart(
-    tiles: DataFrame, sides: DataFrame, begun: DataFrame, roots: DataFrame, words: int, radius: int, ratio: float | None,
-    limit: int,
-) -> DataFrame:
-    """``(pair, src, dst, distance, layer, block, start)``: links that join different ``roots(node, root)``, in the tile pairs of
-    ``begun(pair, start)`` from that row on.
+def confirmed_links(near: DataFrame, sets: DataFrame, words: list[str], radius: int, likeness: float) -> DataFrame:
+    """``(src, dst)``: for each tile pair of ``near(pair, side, node)`` a forest of the links whose sets have the likeness.
 
-    Each tile pair ends with about ``limit`` of them; one that is not through has another row, of layer 0, with the row
-    to go on from. A node without a root is its own.
+    ``sets(node, size, *words, hashes)`` has sorted distinct 64-bit hashes as bytes. Only nodes with a candidate are sent,
+    once to each tile pair in which they have one; likeness is tested there, and at most one link a node comes out.
     """
-    begun = sides.join(begun, "pair")
-    used = tiles.join(begun.select(*_TILE).distinct(), _TILE)
-    labels = (
-        used.select(*_TILE, F.explode("rows.node").alias("node"))
-        .join(roots.filter("node <> root"), "node")
-        .groupBy(*_TILE)
-        .agg(F.collect_list(F.struct("node", "root")).alias("labels"))
-    )
-    both = begun.join(used, _TILE).join(labels, _TILE, "left").select("pair", "side", "start", "rows", "labels")
 
-    def labelled(nodes: np.ndarray, known) -> np.ndarray:
-        out = nodes.copy()
-        if known.is_valid and len(known.values):
-            node, root = (known.values.field(k).to_numpy(zero_copy_only=False) for k in range(2))
-            order = np.argsort(nodes)
-            out[order[np.searchsorted(nodes, node, sorter=order)]] = root
-        return out
+    def side(group: pa.Table, number: int):
+        own = group.filter(pc.equal(group.column("side"), number))
+        prints = np.stack([own.column(w).to_numpy().view(np.uint64) for w in words], axis=1)
+        hashes = [np.frombuffer(h, np.uint64) for h in own.column("hashes").to_pylist()]
+        return own.column("node").to_numpy(), prints, own.column("size").to_numpy(), hashes
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("side")
-        sides = [_unpacked(tile.values, words) for tile in group.column("rows")]
-        labels = [labelled(side[0], known) for side, known in zip(sides, group.column("labels"))]
-        found, start = sweep(
-            sides[0], sides[-1], radius, ratio, len(sides) == 1, (labels[0], labels[-1]),
-            group.column("start")[0].as_py(), limit,
-        )
-        return _found_table(group.column("pair")[0].as_py(), found, start)
+        names = group.column("pair")[0].as_py().split(":")
+        same = names[:3] == names[3:]
+        left = side(group, 0)
+        right = left if same else side(group, 1)
+        src, dst = confirmed(left, right, radius, likeness, same)
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
-    return both.groupBy("pair").applyInArrow(run, _FOUND)
+    return near.join(sets, "node").groupBy("pair").applyInArrow(run, "src bigint, dst bigint")
 
 
 def tiled_links(
@@ -277,5 +288,13 @@ def tiled_links(
     radius, without listing all pairs of a large group. Empty input gives no link.
     """
     tiles, sides = tile_pairs(prints, words, radius, ratio, tile_rows)
-    found = forests(tiles, sides, len(words), radius, ratio, count)
-    return found.filter("layer > 0").select("src", "dst", "distance", "layer")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("side")
+        sides = [_unpacked(tile.values, len(words)) for tile in group.column("rows")]
+        found = compare(sides[0], sides[-1], radius, ratio, len(sides) == 1, count)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table({n: pa.array(x, k) for n, x, k in zip(("src", "dst", "distance", "layer"), found, kinds)})
+
+    both = sides.join(tiles, _TILE).select("pair", "side", "rows")
+    return both.groupBy("pair").applyInArrow(run, "src bigint, dst bigint, distance int, layer int")

@@ -136,22 +136,55 @@ def test_links_below_the_likeness_hide_none_above(spark):
     assert kept == {k for k, root in enumerate(roots) if root == k}
 
 
-def test_sweep_goes_on_where_it_ended(monkeypatch):
+@pytest.mark.parametrize("likeness", [0.3, 0.8])
+def test_tile_pairs_confirm_a_forest(monkeypatch, likeness):
+    """The links of a tile pair join what a comparison of all its sets joins, in blocks and tests of any size."""
     monkeypatch.setattr(tiles, "_BLOCK", 64)
+    monkeypatch.setattr(tiles, "_TESTED", 50)
     rng = np.random.default_rng(2)
-    tile = [(np.arange(n, n + 40), rng.integers(0, 16, (40, 1)).astype(np.uint64), np.ones(40)) for n in (0, 100)]
-    for right, same in ((tile[1], False), (tile[0], True)):
-        labels = (tile[0][0] // 3, right[0] // 3)
-        got, start, rounds = [], 0, 0
-        while start >= 0:
-            (a, b, _, layer), start = tiles.sweep(tile[0], right, 1, None, same, labels, start, 5)
-            got += zip(a.tolist(), b.tolist())
-            rounds += 1
-        plain = [
-            (int(a), int(b)) for i, a in enumerate(tile[0][0]) for j, b in enumerate(right[0])
-            if (i < j or not same) and a // 3 != b // 3 and bin(int(tile[0][1][i, 0]) ^ int(right[1][j, 0])).count("1") <= 1
-        ]
-        assert rounds > 3 and sorted(got) == sorted(plain)
+    sets = [np.unique(rng.integers(0, 14, rng.integers(0, 12)).astype(np.uint64)) for _ in range(80)]
+    side = [
+        (np.arange(n, n + 40), rng.integers(0, 4, (40, 1)).astype(np.uint64), np.array([len(x) for x in sets[n : n + 40]]), sets[n : n + 40])
+        for n in (0, 40)
+    ]
+    words = np.concatenate([side[0][1], side[1][1]])[:, 0].tolist()
+
+    def linked(i, j):
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        sizes = sorted((len(sets[i]), len(sets[j])))
+        close = bin(words[i] ^ words[j]).count("1") <= 1 and sizes[0] >= likeness * sizes[1]
+        return close and shared >= likeness * (sum(sizes) - shared)
+
+    for right, same in ((side[1], False), (side[0], True)):
+        src, dst = tiles.confirmed(side[0], right, 1, likeness, same)
+        n = 40 if same else 80
+        across = lambda i, j: linked(i, j) and (same or (i < 40) != (j < 40))
+        assert all(across(i, j) for i, j in zip(src, dst))
+        links = set(zip(src, dst)) | set(zip(dst, src))
+        assert plain_groups(n, across) == plain_groups(n, lambda i, j: (i, j) in links)
+        assert len(src) == n - len(set(plain_groups(n, across)))
+
+
+def test_a_large_group_gives_a_forest(spark):
+    """2,000 near copies: as many rows as nodes in each stored table, not as many as pairs."""
+    rng = random.Random(1)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*base, f"x{k}", f"y{rng.random()}"]) for k in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    rows = {}
+    stored = simhash.store
+
+    def counting(frame, label):
+        out = stored(frame, label)
+        rows[label] = out.count()
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(simhash, "store", counting)
+        assert [r["doc_id"] for r in simhash.drop_near_duplicates(df).collect()] == [0]
+    pairs = rows["near-sides"]
+    assert rows["near-classes"] == 2000 and max(rows.values()) <= 2000 * (pairs + 1)
+    assert rows["near-links"] < 2000 * (pairs + 1)
 
 
 def test_layers_keep_the_nearest_links():
