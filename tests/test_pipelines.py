@@ -4,12 +4,12 @@ import random
 
 import pytest
 
-from conftest import TITLE_SCHEMA, USER_SCHEMA, title, user
 from ratelens.functions.vocabulary import GENRES, TYPES
 from ratelens.plans import pipelines, training
 from ratelens.plans.features import UserSelection
 from ratelens.sources.readers import load_split
 from ratelens.sources.writers import read_metadata, write_csv
+from rows import TITLE_SCHEMA, USER_SCHEMA, title, user
 
 
 @pytest.fixture(scope="module")
