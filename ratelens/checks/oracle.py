@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratelens.checks.registry import CLASS_FEATURES, LOAD_DATE, MIN_RATINGS, SCALED, USER_SAMPLE
+from ratelens.checks.registry import CLASS_FEATURES, LOAD_DATE, MIN_RATINGS, SCALED, TREES, USER_SAMPLE
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import (
     AGE_RATINGS,
@@ -321,6 +321,14 @@ def _scaled(column: str, name: str) -> str:
     )
 
 
+def _train_scaled(column: str) -> str:
+    low, high = f"low_{column}", f"high_{column}"
+    return (
+        f"CASE WHEN {high} = {low} THEN CASE WHEN {column} IS NOT NULL THEN 0.0::DOUBLE END "
+        f"ELSE ({column} - {low}) / ({high} - {low})::DOUBLE END"
+    )
+
+
 _REGRESSION = f"""SELECT anime_id, name AS Name, score AS Score, episodes_clean, duration_minutes, release_year,
   {", ".join(_scaled(c.lower(), f"{c.lower()}_normalized") for c in SCALED)},
   {", ".join(_contains("genres", GENRES, "genre") + _equals("type", TYPES, "type")
@@ -386,6 +394,40 @@ _CLASS_DOUBLES = [
     "rating_consistency", "preference_intensity", "drop_rate", *_SHARES, *[f"{c}_normalized" for c in SCALED_COLUMNS],
 ]
 
+def _tree_levels(levels: int = 2) -> str:
+    """Bounds, cut and gain of each node: every level from the rows that the one above it has placed."""
+    values = ", ".join(f"coalesce({c}, 0)::DOUBLE" for c in _REGRESSION_FEATURES)
+    parts = [
+        f"""titled AS MATERIALIZED (SELECT [{values}] AS x, round(Score / 0.000001::DOUBLE)::BIGINT AS y FROM ({_REGRESSION}))""",
+        f"placed1 AS MATERIALIZED (SELECT tree::INTEGER AS tree, 1::BIGINT AS node, x, y FROM titled, range({TREES}) t(tree))",
+    ]
+    for k in range(1, levels + 1):
+        parts += [
+            f"""cuts{k} AS (SELECT *, low + (high - low) * (('0x' || substr(md5('42:' || tree || ':' || node || ':' || feature), 1, 8))::BIGINT
+    / 4294967296.0::DOUBLE) AS cut FROM (SELECT tree, node, feature, min(v) AS low, max(v) AS high FROM (
+      SELECT tree, node, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS feature FROM placed{k}) GROUP BY ALL) WHERE low < high)""",
+            f"""best{k} AS MATERIALIZED (SELECT *, (l::DOUBLE * l::DOUBLE) / n_left::DOUBLE + ((t - l)::DOUBLE * (t - l)::DOUBLE) / (n - n_left)::DOUBLE AS gain
+  FROM (SELECT c.tree, c.node, c.feature, c.cut, c.low, c.high, count(*) AS n, sum(y)::BIGINT AS t,
+      count(*) FILTER (WHERE x[feature + 1] <= cut) AS n_left, sum(y) FILTER (WHERE x[feature + 1] <= cut)::BIGINT AS l
+    FROM placed{k} p JOIN cuts{k} c ON p.tree = c.tree AND p.node = c.node WHERE cut < high GROUP BY ALL)
+  WHERE n_left > 0 AND n_left < n QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, feature) = 1)""",
+            f"""placed{k + 1} AS MATERIALIZED (SELECT p.tree, 2 * p.node + CASE WHEN x[feature + 1] <= cut THEN 0 ELSE 1 END AS node, x, y
+  FROM placed{k} p JOIN best{k} b ON p.tree = b.tree AND p.node = b.node)""",
+        ]
+    rows = "\nUNION ALL ".join(
+        f"SELECT tree, node, ({_list(_REGRESSION_FEATURES)})[feature + 1] AS feature, cut, low, high, n, n_left, gain FROM best{k}"
+        for k in range(1, levels + 1)
+    )
+    return _raw(rows, _FILLED + ", " + ",\n".join(parts))
+
+
+_QUARANTINE = ''', lines AS (
+  SELECT anime_id, name || ', "so"' AS name, anime_id % 11 AS kind, members, anime_id || ',"' || name || ', ""so""",'
+    || CASE WHEN anime_id % 11 = 3 THEN 'many' ELSE members::VARCHAR END AS line
+  FROM raw_titles
+)'''
+
+
 _HASH = "('0x' || substr(md5('42:' || user_id), 1, 8))::BIGINT"
 _RANDOM = f"""SELECT user_id, gender AS Gender, CASE WHEN share < 0.70::DOUBLE THEN 'train'
   WHEN share < 0.85::DOUBLE THEN 'validation' ELSE 'test' END AS split
@@ -518,6 +560,26 @@ FROM guessed""",
         "user_features_derived": _raw(
             f"SELECT * REPLACE ({_round(_CLASS_DOUBLES)}) FROM classification", _CLASSIFICATION
         ),
+        "classification_scaled_train_fit": _raw(
+            f"SELECT user_id, Gender, split, {_round([f'{c}_normalized' for c in SCALED_COLUMNS])} FROM ("
+            f"SELECT user_id, Gender, split, {', '.join(f'coalesce({_train_scaled(c)}, 0) AS {c}_normalized' for c in SCALED_COLUMNS)}"
+            " FROM parts JOIN derived USING (user_id), bounds)",
+            f"""{_CLASSIFICATION}, parts AS MATERIALIZED (
+  SELECT user_id, CASE WHEN rn <= floor(n * 0.70::DOUBLE) THEN 'train' WHEN rn <= floor(n * 0.85::DOUBLE) THEN 'validation'
+    ELSE 'test' END AS split
+  FROM (SELECT user_id, count(*) OVER (PARTITION BY gender_encoded) AS n,
+    row_number() OVER (PARTITION BY gender_encoded ORDER BY {_HASH}, user_id) AS rn FROM derived)
+), bounds AS (SELECT {", ".join(f"min({c}) AS low_{c}, max({c}) AS high_{c}" for c in SCALED_COLUMNS)}
+  FROM derived JOIN parts USING (user_id) WHERE split = 'train')""",
+        ),
+        "extra_tree_levels": _tree_levels(),
+        "csv_quarantine": _raw(
+            """SELECT anime_id, name AS Name, CASE WHEN kind <> 3 THEN members END AS Members, 'x' AS Last,
+  'kept' AS fault, NULL::VARCHAR AS record FROM lines WHERE kind NOT IN (1, 2)
+UNION ALL SELECT NULL, NULL, NULL, NULL, CASE kind WHEN 1 THEN 'short' WHEN 2 THEN 'long' ELSE 'unparsable' END,
+  CASE kind WHEN 1 THEN line WHEN 2 THEN line || ',x,y' ELSE line || ',x' END FROM lines WHERE kind IN (1, 2, 3)""",
+            _QUARANTINE,
+        ),
         "user_sample": _raw(
             f"SELECT user_id, gender AS Gender FROM raw_users ORDER BY {_HASH}, user_id LIMIT {USER_SAMPLE}"
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,12 @@ from ratelens.functions.casting import to_known_whole
 from ratelens.functions.rules import valid_age_rating, valid_studio
 from ratelens.functions.text import duration_minutes, year_in_text
 from ratelens.functions.vocabulary import AGE_RATINGS, COMPACT_VOCABULARY, GENRES, SOURCES, STUDIOS, TYPES
-from ratelens.operators import behaviour, encoding, profiling, sampling, scaling, star, statistics
+from ratelens.operators import behaviour, encoding, profiling, sampling, scaling, star, statistics, trees
 from ratelens.plans import features as feature_plans
 from ratelens.plans import training
 from ratelens.plans.business import QUERIES, quintile_cut_errors
-from ratelens.session import scratch_path
-from ratelens.sources import readers, writers
+from ratelens.session import scratch_path, stored
+from ratelens.sources import ingest, readers, writers
 from ratelens.sources.retail import raw_ratings, raw_titles, raw_users, retail_star, stored_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +33,8 @@ PARAMETERS = {
 SCALED = ("Members", "Favorites", "Popularity", "Watching", "Completed")
 LOAD_DATE = "2026-02-03"  # after the default calendar
 USER_SAMPLE = 500
-CLASS_FEATURES = tuple(c for c in feature_plans.classification_columns() if not c.endswith("_normalized"))
+CLASS_FEATURES = tuple(feature_plans.classification_columns())
+TREES = 3  # of which the first levels are checked
 MIN_RATINGS = 10
 
 
@@ -233,24 +235,72 @@ def title_collapse(spark, directory):
 
 def _trained_regression(spark, directory):
     titles = sampling.random_split(raw_titles(spark, directory), "anime_id")
-    table = feature_plans.regression_features(titles, fit_rows=titles.filter(F.col("split") == "train"))
-    stored = writers.materialize(
+    fitted = feature_plans.fit_titles(titles.filter(F.col("split") == "train"))
+    table = feature_plans.regression_features(titles, fitted=fitted)
+    saved = writers.materialize(
         spark, scratch_path(spark, "regression"), lambda: sampling.random_split(table, "anime_id").fillna(0)
     )
-    train, test = (stored.filter(F.col("split") == s) for s in ("train", "test"))
-    names = feature_plans.feature_columns(stored, (*feature_plans.REGRESSION_IDS, "split"))
+    train, test = (saved.filter(F.col("split") == s) for s in ("train", "test"))
+    names = feature_plans.feature_columns(saved, (*feature_plans.REGRESSION_IDS, "split"))
     return training.rank_regressors(train, test, names, models_path=stored_path(spark, directory, "models"))
 
 
+def _split_users(spark, directory):
+    return feature_plans.split_classification_features(
+        raw_ratings(spark, directory),
+        _users(spark, directory),
+        raw_titles(spark, directory),
+        feature_plans.UserSelection(min_ratings=MIN_RATINGS),
+    )[0]
+
+
+def classification_scaled_train_fit(spark, directory):
+    """Scaled columns and split of every user, by the bounds of the train part."""
+    scaled = [f"{c}_normalized" for c in behaviour.SCALED_COLUMNS]
+    return comparable(_split_users(spark, directory).select("user_id", "Gender", "split", *scaled))
+
+
+def extra_tree_levels(spark, directory):
+    """The first two levels of some extremely randomised trees over all titles: each node's bounds, cut and gain."""
+    table = regression_features(spark, directory).fillna(0)
+    names = feature_plans.feature_columns(table, feature_plans.REGRESSION_IDS)
+    x = F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("x")
+    rows = trees.place(table.select(x, trees.in_units(F.col("Score")).alias("y")), TREES)
+    first = stored(trees.best_splits(rows, 42), "level")
+    both = first.union(trees.best_splits(trees.children(rows, first), 42))
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature") + 1).alias("feature")
+    return both.select("tree", "node", named, "cut", "low", "high", "n", "n_left", "gain")
+
+
+def csv_quarantine(spark, directory):
+    """Titles written as CSV lines of which some have a field too few, one too many, or a word for a number."""
+    path = scratch_path(spark, "damaged")
+    key, name = F.col("anime_id"), F.concat(F.lit('"'), F.replace("Name", F.lit('"'), F.lit('""')), F.lit(', ""so""",'))
+    members = F.when(key % 11 == 3, "many").otherwise(F.coalesce(F.col("Members").cast("string"), F.lit("")))
+    end = F.when(key % 11 == 1, "").when(key % 11 == 2, ",x,y").otherwise(",x")
+    lines = raw_titles(spark, directory).select(F.concat(key.cast("string"), F.lit(","), name, members, end).alias("value"))
+    header = spark.range(1).select(F.lit("anime_id,Name,Members,Last").alias("value"))
+    # Each file begins with the header, as files of a CSV folder do.
+    parts = lines.withColumn("file", F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
+    heads = header.select("value", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("file"))
+    both = heads.withColumn("rank", F.lit(0)).union(parts.select("value", "file", F.lit(1)))
+    both.repartition(4, "file").sortWithinPartitions("file", "rank").drop("rank").write.partitionBy("file").text(path)
+    kinds = {"anime_id": "bigint", "Members": "int"}
+    tables = []
+    for part in range(4):
+        rows = ingest.ingest_csv(spark, f"{path}/file={part}", f"{path}-typed/{part}", kinds, multi_line=False)
+        kept = rows.select("anime_id", "Name", "Members", "Last", F.lit("kept").alias("fault"), F.lit(None).cast("string").alias("record"))
+        faults = ingest.quarantine(spark, f"{path}-typed/{part}")
+        none = [F.lit(None).cast(kind).alias(n) for n, kind in rows.dtypes]
+        tables += [kept, faults.select(*none, F.col(ingest.FAULT).alias("fault"), F.col(ingest.RECORD).alias("record"))]
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
 def _trained_classification(spark, directory):
-    table = classification_features(spark, directory)
-    stored = writers.materialize(
-        spark,
-        scratch_path(spark, "classification"),
-        lambda: sampling.stratified_split(table, "user_id", "gender_encoded"),
-    )
-    train, test = (stored.filter(F.col("split") == s) for s in ("train", "test"))
-    names = feature_plans.feature_columns(stored, (*feature_plans.CLASSIFICATION_IDS, "split"))
+    table = _split_users(spark, directory)
+    saved = writers.materialize(spark, scratch_path(spark, "classification"), lambda: table)
+    train, test = (saved.filter(F.col("split") == s) for s in ("train", "test"))
+    names = feature_plans.feature_columns(saved, (*feature_plans.CLASSIFICATION_IDS, "split"))
     return training.rank_classifiers(train, test, names, models_path=stored_path(spark, directory, "models"))
 
 
@@ -288,6 +338,7 @@ def registered() -> dict[str, Query]:
         "parquet_roundtrip": parquet_roundtrip,
         "csv_quoted_roundtrip": csv_quoted_roundtrip,
         "csv_split": csv_split,
+        "csv_quarantine": csv_quarantine,
         "ratings_of_known_users": known_users,
         "ratings_left_items": left_titles,
     }
@@ -316,6 +367,8 @@ def registered() -> dict[str, Query]:
         "user_features": lambda s, d: comparable(user_features(s, d)),
         "user_features_compact": lambda s, d: comparable(user_features_compact(s, d)),
         "user_features_derived": lambda s, d: comparable(classification_features(s, d)),
+        "classification_scaled_train_fit": classification_scaled_train_fit,
+        "extra_tree_levels": extra_tree_levels,
         "user_sample": user_sample,
         "split_random": split_random,
         "split_stratified": split_stratified,

@@ -118,15 +118,23 @@ def assess_numeric(statistics: DataFrame) -> DataFrame:
     )
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """128 bits of a row's values, as two longs; a hash skips NULLs, so where they are is hashed too."""
+    columns = [_quoted(c) for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return [F.xxhash64(nulls, *columns).alias("__one"), F.xxhash64(F.lit("row"), *columns[::-1], nulls).alias("__two")]
+
+
 def quality_report(df: DataFrame) -> DataFrame:
-    """One row: rows, repeated rows, NULL cells and their share."""
+    """One row: rows, repeated rows, NULL cells and their share. Rows are compared, and shuffled, by their digests."""
     cells = sum((F.when(_quoted(c).isNull(), 1).otherwise(0) for c in df.columns), F.lit(0))
     # Identical rows are counted map-side before the shuffle, also when one row makes up much of the table.
-    distinct = df.groupBy(*[_quoted(c) for c in df.columns]).agg(F.count("*").alias("__copies"))
+    rows = df.select(*row_digest(df), cells.alias("__cells"))
+    distinct = rows.groupBy("__one", "__two").agg(F.count("*").alias("__copies"), F.sum("__cells").alias("__cells"))
     totals = distinct.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(F.sum(cells * F.col("__copies")), F.lit(0)).alias("null_cells"),
+        F.coalesce(F.sum("__cells"), F.lit(0)).alias("null_cells"),
     )
     share = F.coalesce(
         F.try_divide(F.col("null_cells") * 100.0, F.col("row_count") * len(df.columns)), F.lit(0.0)

@@ -27,8 +27,8 @@ from ratelens.operators.behaviour import (
     user_profile,
 )
 from ratelens.operators.encoding import category_indicators, encode, list_indicators
-from ratelens.operators.sampling import seeded_sample
-from ratelens.operators.scaling import fit_columns, impute, scale
+from ratelens.operators.sampling import seeded_sample, stratified_split
+from ratelens.plans.preprocessing import Preprocessor, PreprocessorModel
 from ratelens.session import stored
 
 # Columns cast, imputed and scaled by the regression table.
@@ -76,21 +76,28 @@ def title_indicators(mode: str = "substring"):
     )
 
 
+def fit_titles(titles: DataFrame, which_year: str = "last") -> PreprocessorModel:
+    """Medians and bounds of raw titles, e.g. the train part, for ``regression_features``."""
+    numbers = extract_numbers(titles, which_year)
+    medians, bounds = ([c for c in some if c in numbers.columns] for some in (IMPUTED_COLUMNS, NORMALIZED_COLUMNS))
+    # One fit for both: a median lies inside its column's bounds, so imputing cannot move them.
+    return Preprocessor(medianCols=medians, scaledCols=bounds).fit(numbers)
+
+
 def regression_features(
-    titles: DataFrame, fit_rows: DataFrame | None = None, which_year: str = "last", mode: str = "substring"
+    titles: DataFrame,
+    fit_rows: DataFrame | None = None,
+    which_year: str = "last",
+    mode: str = "substring",
+    fitted: PreprocessorModel | None = None,
 ) -> DataFrame:
     """Id, name, score and 79 features per scored title.
 
-    Medians and bounds are fitted on ``fit_rows`` (raw titles, e.g. the train part) or on all titles.
+    Medians and bounds are ``fitted``, or those of ``fit_rows`` (raw titles, e.g. the train part) or of all titles.
     """
-    numbers = extract_numbers(titles, which_year)
-    fitted = numbers if fit_rows is None else extract_numbers(fit_rows, which_year)
-    imputed = [c for c in IMPUTED_COLUMNS if c in numbers.columns]
-    normalized = [c for c in NORMALIZED_COLUMNS if c in numbers.columns]
-    outputs = [f"{c.lower()}_normalized" for c in normalized]
-    # One fit for both: a median lies inside its column's bounds, so imputing cannot move them.
-    fit = fit_columns(fitted, medians=imputed, bounds=normalized)
-    scaled = scale(impute(numbers, imputed, fit), normalized, outputs, fit)
+    fitted = fitted or fit_titles(titles if fit_rows is None else fit_rows, which_year)
+    scaled = fitted.transform(extract_numbers(titles, which_year))
+    outputs = [f"{c.lower()}_normalized" for c in fitted.getOrDefault("scaledCols")]
     encoded = encode(scaled, *title_indicators(mode))
     return encoded.select(*REGRESSION_IDS, *EXTRACTED_COLUMNS, *outputs, *INDICATOR_COLUMNS)
 
@@ -105,29 +112,53 @@ class UserSelection:
     seed: int = 42
 
 
-def classification_features(
+def user_table(
     ratings: DataFrame,
     users: DataFrame,
     titles: DataFrame,
     selection: UserSelection = UserSelection(),
     vocabulary: BehaviourVocabulary = FULL_VOCABULARY,
 ) -> DataFrame:
-    """One row per user of known class with enough ratings: label, behaviour and profile features.
+    """One row per user of known class with enough ratings: label, behaviour and profile features, not scaled.
 
-    Users are filtered before features are scaled. ``users`` has the raw columns with ``user_id`` as id.
-    The unscaled table, one row per user, is stored once: fitting the scale on its lineage would
-    aggregate all ratings a second time.
+    ``users`` has the raw columns with ``user_id`` as id. The table, one row per user, is stored once: fitting
+    a scale on its lineage would aggregate all ratings a second time.
     """
     known = users.filter(F.col("Gender").isin(*selection.classes))
     if selection.sample_users:
         known = seeded_sample(known, selection.sample_users, "user_id", selection.seed)
     behaviour = user_behaviour(ratings, titles, vocabulary)
     enough = behaviour.filter(F.col("total_ratings") >= selection.min_ratings)
-    features = stored(derived_features(enough.join(user_profile(known), "user_id"), vocabulary), "user-features")
-    filled = scaled_features(features).fillna(0)
+    return stored(derived_features(enough.join(user_profile(known), "user_id"), vocabulary), "user-features")
+
+
+def classification_features(
+    ratings: DataFrame,
+    users: DataFrame,
+    titles: DataFrame,
+    selection: UserSelection = UserSelection(),
+    vocabulary: BehaviourVocabulary = FULL_VOCABULARY,
+) -> DataFrame:
+    """``user_table`` with scaled copies of some columns, fitted on all its users."""
+    filled = scaled_features(user_table(ratings, users, titles, selection, vocabulary)).fillna(0)
     return filled.select(*CLASSIFICATION_IDS, *classification_columns(vocabulary))
 
 
+def split_classification_features(
+    ratings: DataFrame,
+    users: DataFrame,
+    titles: DataFrame,
+    selection: UserSelection = UserSelection(),
+    vocabulary: BehaviourVocabulary = FULL_VOCABULARY,
+) -> tuple[DataFrame, PreprocessorModel]:
+    """The table of ``classification_features`` with ``split``, scaled by the users of the train part alone; and the fit."""
+    table = user_table(ratings, users, titles, selection, vocabulary)
+    labelled = stored(stratified_split(table, "user_id", "gender_encoded"), "user-splits")
+    fitted = Preprocessor(scaledCols=SCALED_COLUMNS).fit(labelled.filter(F.col("split") == "train"))
+    filled = fitted.transform(labelled).fillna(0)
+    return filled.select(*CLASSIFICATION_IDS, *classification_columns(vocabulary), "split"), fitted
+
+
 def classification_columns(vocabulary: BehaviourVocabulary = FULL_VOCABULARY) -> list[str]:
     """Names of all classification features in table order."""
     return [

@@ -8,19 +8,22 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.operators.sampling import class_balance, random_split, split_report, stratified_split
+from ratelens.operators.sampling import class_balance, random_split, split_report
 from ratelens.operators.star import TITLE_COLUMNS, USER_COLUMNS, Star, build_star
 from ratelens.plans.features import (
     CLASSIFICATION_IDS,
     REGRESSION_IDS,
     UserSelection,
-    classification_features,
     feature_columns,
+    fit_titles,
     regression_features,
+    split_classification_features,
 )
+from ratelens.plans.preprocessing import PreprocessorModel
 from ratelens.plans.runner import BATCHES, run_batch
 from ratelens.plans.training import Ranking, classification_report, rank_classifiers, rank_regressors
-from ratelens.sources.readers import load_split, read_csv, require_inputs, with_standard_names
+from ratelens.sources.ingest import ingest_csv, input_manifest
+from ratelens.sources.readers import load_split, require_inputs, with_standard_names
 from ratelens.sources.writers import (
     ensure_star,
     materialize,
@@ -45,30 +48,50 @@ _USER_KINDS = {source: kind for source, _, kind in USER_COLUMNS if kind != "date
 _SPLITS = ("train", "validation", "test")
 
 
-def read_users(spark: SparkSession, path: str) -> DataFrame:
-    return with_standard_names(read_csv(spark, path, _USER_KINDS), USER_ALIASES)
+# Kinds of the columns that the flows read from each file; all others are text.
+_TITLE_KINDS = {source: kind for source, _, kind in TITLE_COLUMNS}
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+def read_users(spark: SparkSession, data: str, ingested: str) -> DataFrame:
+    users = ingest_csv(spark, f"{data}/{USERS_FILE}", f"{ingested}/users", _USER_KINDS)
+    return with_standard_names(users, USER_ALIASES)
+
+
+def read_ratings(spark: SparkSession, data: str, ingested: str) -> DataFrame:
     """Ratings hold numbers and plain names, so the file can be split among tasks."""
-    ratings = with_standard_names(read_csv(spark, path, multi_line=False), RATING_ALIASES)
+    ratings = ingest_csv(spark, f"{data}/{RATINGS_FILE}", f"{ingested}/ratings", multi_line=False)
+    ratings = with_standard_names(ratings, RATING_ALIASES)
     return ratings.select(*[F.col(c).try_cast(kind).alias(c) for c, kind in _RATING_KINDS.items()])
 
 
+def read_filtered_titles(spark: SparkSession, data: str, ingested: str) -> DataFrame:
+    titles = ingest_csv(spark, f"{data}/{FILTERED_TITLES_FILE}", f"{ingested}/filtered_titles", {"anime_id": "bigint"})
+    return with_standard_names(titles, TITLE_ALIASES)
+
+
+def _inputs(spark: SparkSession, data: str, *files: str) -> dict:
+    """What a result built from these files depends on: the folder, and the files as they are now."""
+    return {"data": data, "inputs": input_manifest(spark, [f"{data}/{f}" for f in files])}
+
+
 def csv_star(spark: SparkSession, data: str, path: str, load_date: str | None = None) -> Star:
-    """The star stored at ``path``, built from the CSV inputs under ``data`` on first use."""
+    """The star stored at ``path``, built from the CSV inputs under ``data`` on first use and when these have changed.
+
+    Typed copies of the inputs and their rows at fault are under ``<path>.ingested``.
+    """
+    files, ingested = (USERS_FILE, TITLES_FILE, RATINGS_FILE), f"{path}.ingested"
 
     def build() -> Star:
-        require_inputs(spark, [f"{data}/{f}" for f in (USERS_FILE, TITLES_FILE, RATINGS_FILE)])
+        require_inputs(spark, [f"{data}/{f}" for f in files])
         return build_star(
-            read_csv(spark, f"{data}/{USERS_FILE}", _USER_KINDS),
-            read_csv(spark, f"{data}/{TITLES_FILE}", {s: k for s, _, k in TITLE_COLUMNS}),
-            read_ratings(spark, f"{data}/{RATINGS_FILE}"),
+            ingest_csv(spark, f"{data}/{USERS_FILE}", f"{ingested}/users", _USER_KINDS),
+            ingest_csv(spark, f"{data}/{TITLES_FILE}", f"{ingested}/titles", _TITLE_KINDS),
+            read_ratings(spark, data, ingested),
             load_date=load_date,
         )
 
     load_date = load_date or datetime.date.today().isoformat()
-    return ensure_star(spark, path, build, {"data": data, "load_date": load_date})
+    return ensure_star(spark, path, build, _inputs(spark, data, *files) | {"load_date": load_date})
 
 
 def run_business(spark: SparkSession, data: str, output: str, load_date: str | None = None) -> DataFrame:
@@ -92,18 +115,26 @@ def _save_splits(labelled: DataFrame, output: str, metadata: dict, formats: str
     write_metadata(spark, metadata, f"{output}/preprocessing_info.json")
 
 
+def preprocessing_path(output: str) -> str:
+    return f"{output}/preprocessing"
+
+
+def load_preprocessing(output: str) -> PreprocessorModel:
+    """What a flow has fitted on its train part, to prepare further rows alike."""
+    return PreprocessorModel.load(preprocessing_path(output))
+
+
 def prepare_regression(spark: SparkSession, data: str, output: str) -> DataFrame:
     """Feature table of the filtered titles, fitted on the train part and split 70/15/15."""
-    titles_path = f"{data}/{FILTERED_TITLES_FILE}"
 
     def build() -> DataFrame:
-        require_inputs(spark, [titles_path])
-        titles = with_standard_names(read_csv(spark, titles_path, {"anime_id": "bigint"}), TITLE_ALIASES)
-        raw = random_split(titles, "anime_id")
-        features = regression_features(raw, fit_rows=raw.filter(F.col("split") == "train"))
-        return random_split(features, "anime_id")
+        require_inputs(spark, [f"{data}/{FILTERED_TITLES_FILE}"])
+        raw = random_split(read_filtered_titles(spark, data, f"{output}/ingested"), "anime_id")
+        fitted = fit_titles(raw.filter(F.col("split") == "train"))
+        fitted.write().overwrite().save(preprocessing_path(output))
+        return random_split(regression_features(raw, fitted=fitted), "anime_id")
 
-    table = materialize(spark, f"{output}/features", build, {"data": data})
+    table = materialize(spark, f"{output}/features", build, _inputs(spark, data, FILTERED_TITLES_FILE))
     names = feature_columns(table, (*REGRESSION_IDS, "split"))
     _save_splits(
         table,
@@ -129,18 +160,19 @@ def run_regression(spark: SparkSession, data: str, output: str, specs=None) -> R
 def prepare_classification(
     spark: SparkSession, data: str, output: str, selection: UserSelection = UserSelection()
 ) -> DataFrame:
-    """Feature table per user, split 70/15/15 within each class."""
-    files = {f: f"{data}/{f}" for f in (USERS_FILE, RATINGS_FILE, FILTERED_TITLES_FILE)}
+    """Feature table per user, split 70/15/15 within each class, scaled by the train part."""
+    files, ingested = (USERS_FILE, RATINGS_FILE, FILTERED_TITLES_FILE), f"{output}/ingested"
 
     def build() -> DataFrame:
-        require_inputs(spark, files.values())
-        users = read_users(spark, files[USERS_FILE])
-        titles = with_standard_names(read_csv(spark, files[FILTERED_TITLES_FILE], {"anime_id": "bigint"}), TITLE_ALIASES)
-        ratings = read_ratings(spark, files[RATINGS_FILE])
-        features = classification_features(ratings, users, titles, selection)
-        return stratified_split(features, "user_id", "gender_encoded")
-
-    table = materialize(spark, f"{output}/features", build, {"data": data, "selection": asdict(selection)})
+        require_inputs(spark, [f"{data}/{f}" for f in files])
+        ratings, users = read_ratings(spark, data, ingested), read_users(spark, data, ingested)
+        titles = read_filtered_titles(spark, data, ingested)
+        table, fitted = split_classification_features(ratings, users, titles, selection)
+        fitted.write().overwrite().save(preprocessing_path(output))
+        return table
+
+    parameters = _inputs(spark, data, *files) | {"selection": asdict(selection)}
+    table = materialize(spark, f"{output}/features", build, parameters)
     names = feature_columns(table, (*CLASSIFICATION_IDS, "split"))
     balance = {row["Gender"]: row["row_count"] for row in class_balance(table, "Gender").collect()}  # two classes
     _save_splits(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.text import feature_name
+from ratelens.plans.extra_trees import ExtraTreesRegressor
 from ratelens.sources.readers import path_exists
 
 
@@ -28,13 +29,14 @@ class ModelSpec:
 
 
 def regression_models(depth: int = 30, rounds: int = 100) -> list[ModelSpec]:
-    """Random forest, boosted trees and bagged trees."""
+    """Random forest, extremely randomised trees, boosted trees and bagged trees."""
     trees = {"maxDepth": depth, "seed": 42, "featuresCol": "features", "maxMemoryInMB": 1024}
     return [
         ModelSpec(
             "Random Forest (n=100)",
             lambda y, n: RandomForestRegressor(labelCol=y, numTrees=100, featureSubsetStrategy="all", **trees),
         ),
+        ModelSpec("Extra Trees (n=100)", lambda y, n: ExtraTreesRegressor(labelCol=y, featuresCol="features", numTrees=100, seed=42)),
         ModelSpec("Gradient Boosting", lambda y, n: GBTRegressor(labelCol=y, maxIter=rounds, **{**trees, "maxDepth": 3})),
         ModelSpec(
             "Bagged Trees (n=10)",

@@ -63,14 +63,20 @@ def ensure_star(spark: SparkSession, path: str, build: Callable[[], Star], param
     The caller always gets the stored tables, never the lineage that produced them.
     """
     done, parameters = f"{path}/finished", json.loads(json.dumps(parameters or {}))
-    if not _finished(spark, done, parameters):
+    if not finished(spark, done, parameters):
         save_star(build(), path)
         write_metadata(spark, {"tables": 4, "parameters": parameters}, done)
     return load_star(spark, path)
 
 
-def _finished(spark: SparkSession, done: str, parameters: dict) -> bool:
-    return path_exists(spark, done) and read_metadata(spark, done).get("parameters") == parameters
+def finished(spark: SparkSession, done: str, parameters: dict) -> bool:
+    """Whether the marker is of these parameters; ``inputs`` that are gone (None) count as those it was built from."""
+    if not path_exists(spark, done):
+        return False
+    known, wanted = read_metadata(spark, done).get("parameters"), json.loads(json.dumps(parameters))
+    if known and "inputs" in wanted and wanted["inputs"] is None:
+        wanted["inputs"] = known.get("inputs")
+    return known == wanted
 
 
 def materialize(
@@ -81,7 +87,7 @@ def materialize(
     Parameters are values of JSON and should name all that the table depends on, its inputs too.
     """
     done, parameters = f"{path}.finished", json.loads(json.dumps(parameters or {}))
-    if not _finished(spark, done, parameters):
+    if not finished(spark, done, parameters):
         frame = build()
         frame.write.mode("overwrite").parquet(path)
         write_metadata(spark, {"columns": frame.columns, "parameters": parameters}, done)

@@ -64,3 +64,13 @@ def test_quality_report_counts_repeated_rows(table):
 
 def test_sample_rows(table):
     assert [r.id for r in profiling.sample_rows(table, ["id"], 2).collect()] == [1, 2]
+
+
+def test_quality_report_shuffles_digests_only(spark):
+    rows = [(None, "a", 1), ("a", None, 1), ("a", None, 1), (None, None, 2)] + [("b", "c", 3)] * 40
+    df = spark.createDataFrame(rows, "x string, y string, n int").repartition(3)
+    report = profiling.quality_report(df)
+    assert tuple(report.first())[:3] == (44, 40, 5)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = [line for line in plan.splitlines() if "Aggregate [__one" in line][0]
+    assert "x#" not in aggregate and "y#" not in aggregate

@@ -94,7 +94,7 @@ def test_classifiers_rank_by_f1(data):
 
 def test_the_default_models():
     assert [s.name for s in training.regression_models()] == [
-        "Random Forest (n=100)", "Gradient Boosting", "Bagged Trees (n=10)"
+        "Random Forest (n=100)", "Extra Trees (n=100)", "Gradient Boosting", "Bagged Trees (n=10)"
     ]
     assert training.regression_models()[0].estimator("y", 10).getNumTrees() == 100
     assert training.classification_models()[1].estimator("y", 10).getNumTrees() == 200
