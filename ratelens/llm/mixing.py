@@ -126,14 +126,35 @@ def pivot(rows: list[tuple], level: int, last: bool) -> tuple[list[float], int |
     return shares, held
 
 
+def made_up(rows: list[tuple], shares: list[float]) -> list[float]:
+    """Integral shares whose words are near those of the fractional shares in ``rows``.
+
+    The draw of the last fractional row may miss by its whole size. Rows that were fractional here change in a drawn
+    order until the words that are missing or too many are fewer than any that could change has; that gives up some of
+    each row's own expectation.
+    """
+    left = sum(size * (share - shares[i]) for i, (_, size, share) in enumerate(rows))
+    other = float(left < 0)
+    shares = list(shares)
+    for i in sorted(range(len(rows)), key=lambda k: _draw(SEED, "made up", rows[k][0], k)):
+        size = rows[i][1]
+        if 0 < rows[i][2] < 1 and shares[i] == other and 0 < size <= abs(left) + 1e-6:
+            shares[i] = 1 - other
+            left += size if left < 0 else -size
+    return shares
+
+
 def _rounding(level: int, last: bool):
     """The rounding of one group of rows, as a function of its table."""
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("digest", "ascending"), ("id", "ascending"), ("size", "ascending")])
+        # Largest first: a large share becomes integral against the many after it, and what is left over is small.
+        group = group.sort_by([("size", "descending"), ("digest", "ascending"), ("id", "ascending")])
         keys = zip(group.column("id").to_pylist(), group.column("digest").to_pylist())
         rows = list(zip(keys, group.column("size").to_pylist(), group.column("share").to_pylist()))
         shares, held = pivot(rows, level, last)
+        if last:
+            shares = made_up(rows, shares)
         done = np.ones(len(rows), bool)
         if held is not None:
             done[held] = False
@@ -152,8 +173,9 @@ def mix(
 
     Each row of a source is due target / source_size copies. The whole part is sure; the fractional parts are
     rounded by pivotal sampling over a tree: groups of some thousands rows of one source, dealt by the id's hash,
-    leave one fractional row each, and those meet again, 64 groups at a time, up to one row in each source. So a
-    source's words differ from its target by less than one document, and a hot source is many groups. Draws
+    leave one fractional row each, and those meet again, 64 groups at a time, up to one row in each source. What its
+    draw leaves open is made up by smaller ones, so a source's words differ from its target by little more than its
+    smallest document, and a hot source is many groups. Draws
     depend on ids, digests and a seed: reruns agree, whatever the partitions. Null sources are a source of
     their own; null texts have size 0; repeated rows are rounded each by itself; an empty table stays empty.
     """
