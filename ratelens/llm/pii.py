@@ -131,7 +131,7 @@ def shape(word: str) -> tuple[str, ...]:
     """Features of a word: its shape with runs collapsed, digit count, parts and marks."""
     core = word.strip(_EDGES)
     out, last = [], ""
-    for c in core[:200]:
+    for c in core:
         kind = "d" if "0" <= c <= "9" else "x" if c.isalpha() else c
         if kind != last:
             out.append(kind)
@@ -139,7 +139,7 @@ def shape(word: str) -> tuple[str, ...]:
     digits = _digits(core)
     n = len(digits)
     bucket = n if n <= 4 else 5 if n <= 6 else 7 if n <= 8 else 9 if n <= 12 else 13 if n <= 19 else 20
-    features = [f"shape={''.join(out)[:24]}", f"digits={bucket}", f"only={len(core) == n}"]
+    features = [f"shape={''.join(out)}", f"digits={bucket}", f"only={len(core) == n}"]
     if "@" in core[1:]:
         features.append(f"at={'.' in core.partition('@')[2]}")
     if core[:1] in "+(":
@@ -153,7 +153,7 @@ def shape(word: str) -> tuple[str, ...]:
         features.append("letters")
     groups = re.split(r"[-. ()]+", core.strip("()+"))
     if all(g.isascii() and g.isdigit() for g in groups):
-        features.append("groups=" + "-".join(str(min(len(g), 5)) for g in groups[:5]))
+        features.append("groups=" + "-".join(str(min(len(g), 5)) for g in groups))
     return tuple(features)
 
 
@@ -200,7 +200,7 @@ def _before(text: str, start: int) -> str:
     while end and text[end - 1] in _SPACES:
         end -= 1
     begin = end
-    while begin and text[begin - 1] not in _SPACES and end - begin < 24:
+    while begin and text[begin - 1] not in _SPACES:
         begin -= 1
     return text[begin:end].strip(_EDGES).lower()
 
