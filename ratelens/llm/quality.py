@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -103,8 +105,9 @@ def fit_lines(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
               per_class: int = TRAIN_TEXTS) -> Chain:
     """The field, fitted to lines of at most ``per_class`` labelled texts of each class.
 
-    A text's label is taken for each of its lines; what good and bad texts share then counts for neither. Texts
-    are drawn by the hash of their ids, so the same table gives the same field. Labels that are null, or
+    A text's label is taken for each of its lines; what good and bad texts share then counts for neither. So that
+    labels also change inside a text, lines of each bad text are put into a good one, and the other way round, at
+    places drawn by their ids. Texts are drawn by the hash of their ids, so the same table gives the same field. Labels that are null, or
     without a text, don't count; with one class missing the field calls every line content.
     """
     spread = F.xxhash64("id")
@@ -127,17 +130,37 @@ def fit_lines(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     sample = map_batches(rows, run, "id string, label int, lines array<array<int>>").collect()
     sample.sort(key=lambda r: (r["id"], r["label"]))
     sequences, truth = [], []
-    for row in sample:
-        lines = [tuple(x) for x in row["lines"]]
-        for at in range(0, len(lines), TRAIN_LINES):
-            part = lines[at : at + TRAIN_LINES]
-            sequences.append(part)
-            truth.append([CONTENT if row["label"] else BOILERPLATE] * len(part))
+    for part, label in _training_texts([(r["id"], r["label"], [tuple(x) for x in r["lines"]]) for r in sample]):
+        for at in range(0, len(part), TRAIN_LINES):
+            sequences.append(part[at : at + TRAIN_LINES])
+            truth.append(label[at : at + TRAIN_LINES])
     if len({row["label"] for row in sample}) < 2:
         sequences, truth = [], []
     return train(sequences, truth, N_FEATURES, 2, rounds=ROUNDS)
 
 
+def _training_texts(sample: list[tuple[str, int, list]]) -> list[tuple[list, list[int]]]:
+    """Lines and their labels of each text, and of texts in which a run of lines of the other class stands."""
+    out = []
+    kinds = [[(key, lines) for key, label, lines in sample if bool(label) == good and lines] for good in (False, True)]
+    for (own, other), label in (((kinds[1], kinds[0]), CONTENT), ((kinds[0], kinds[1]), BOILERPLATE)):
+        for k, (key, lines) in enumerate(own):
+            out.append((lines, [label] * len(lines)))
+            if not other:
+                continue
+            name, strange = other[k % len(other)]
+            drawn = zlib.crc32(f"{key}:{name}".encode())
+            size = 1 + drawn % min(len(strange), TRAIN_LINES // 2)
+            begin = (drawn >> 8) % (len(strange) - size + 1)
+            # Near the beginning, so that the change stands inside a training sequence.
+            at = (drawn >> 16) % (min(len(lines), TRAIN_LINES // 2) + 1)
+            out.append((
+                lines[:at] + strange[begin : begin + size] + lines[at:],
+                [label] * at + [1 - label] * size + [label] * (len(lines) - at),
+            ))
+    return out
+
+
 def judge(chain: Chain, lines: list[list[tuple]]) -> list[float]:
     """Share of each text's words that stand in lines decoded as content; 0 without words."""
     cache: dict[tuple, np.ndarray] = {}

@@ -3,6 +3,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import math
+import random
+import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -125,6 +129,63 @@ def test_bayes_learns_from_rules(spark):
     assert found[300] == "block" and found[301] == "allow"
 
 
+def plain_verdicts(rows):
+    """The whole method in one process: counts, segmentation, naive Bayes."""
+    words = Counter(w for _, _, html in rows for w in re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>", " ", html or "").lower()) if len(w) <= urls.WORD_LETTERS)
+    segmenter = urls.Segmenter(words)
+
+    def tokens(host, path):
+        for mark, text in (("h", host), ("p", path.lower())):
+            for piece in re.findall(r"[^\W\d_]+|[0-9]+", text):
+                for word in [f"#{len(piece)}"] if piece[0].isdigit() else segmenter.split(piece):
+                    yield zlib.crc32(f"{mark}:{word}".encode()) % urls.BUCKETS
+
+    def parts(url):
+        rest = (url or "").partition("://")[2]
+        host = re.match(r"[^/?#]*", rest)[0]
+        return host.lower(), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+    def decided(host, path):
+        fits = [
+            (len(rule), verdict) for rule, verdict in urls.RULES for h, _, p in [rule.partition("/")]
+            if (host == h or host.endswith("." + h)) and path.startswith("/" + p)
+        ]
+        return max(fits)[1] if fits else None
+
+    seen, prior = {c: Counter() for c in urls.CLASSES}, Counter(urls.CLASSES)
+    for _, url, _ in rows:
+        if verdict := decided(*parts(url)):
+            seen[verdict].update(tokens(*parts(url)))
+            prior[verdict] += 1
+    out = []
+    for key, url, _ in rows:
+        verdict = decided(*parts(url))
+        if verdict is None:
+            score = {
+                c: math.log(prior[c]) + sum(math.log((seen[c][t] + 1) / (seen[c].total() + urls.BUCKETS)) for t in tokens(*parts(url)))
+                for c in urls.CLASSES
+            }
+            verdict = "block" if list(tokens(*parts(url))) and score["block"] > score["allow"] + 1e-6 else "allow"
+        out.append((key, *parts(url), verdict))
+    return out
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    rng = random.Random(6)
+    names = ["good", "books", "casino", "win", "reading", "slots", "bücher", "münchen", "café", "rare"]
+    rows = []
+    for k in range(250):
+        own = rng.sample(names[:5] if k % 2 else names[3:], 3)
+        end = rng.choice((".net", ".org/fr/", ".info/", ".example.com/de/", ".example.net/en/"))
+        text = " ".join(rng.choice(names) for _ in range(rng.randint(0, 30)))
+        rows.append((k, f"http://{''.join(own)}{k % 7}{end}{rng.choice(names)}/{k}", f"<p {text}>{text} once{'abcdefghij'[k % 10] * (k % 35 + 1)}"))
+    rows += [(900, None, None), (901, "x://", "a"), (902, "x://" + "q" * 3000 + "/" + "casino" * 500, "b"), (902, "x://123", "c")]
+    found = urls.judge_urls(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    expected = plain_verdicts(rows)
+    assert sorted((r["id"], r["host"], r["path"], r["verdict"]) for r in found) == sorted(expected)
+    assert len({v for *_, v in expected}) == 2
+
+
 # Mixing
 
 
@@ -161,6 +222,14 @@ def test_pivot_keeps_mass_and_expectation():
     assert all(0.17 < ones[k] / 400 < 0.33 for k in range(8))
 
 
+def test_what_the_last_draw_leaves_open_is_made_up():
+    for seed in range(60):
+        rows = [((seed, "large"), 5000, 0.2)] + [((seed, k), 3 + (k * 7 + seed) % 90, 0.2) for k in range(120)]
+        shares = mixing.made_up(rows, mixing.pivot(rows, 0, last=True)[0])
+        assert set(shares) <= {0.0, 1.0}
+        assert abs(sum(s * r[1] for s, r in zip(shares, rows)) - sum(r[1] * r[2] for r in rows)) <= 5000 * shares[0] + 10
+
+
 def test_mix_meets_targets(spark, monkeypatch):
     monkeypatch.setattr(mixing, "GROUP_ROWS", 20)
     monkeypatch.setattr(mixing, "FAN_IN", 3)

@@ -324,3 +324,30 @@ def test_automaton_on_a_small_vocabulary():
     for size in range(1, 8):
         for letters in itertools.product(b"abc", repeat=size):
             assert automaton.count(bytes(letters)) == greedy(bytes(letters)), bytes(letters)
+
+
+def test_lines_of_a_mixed_text_are_told_apart(spark):
+    """Half content, half boilerplate: each line is decoded by itself, and the share of content words decides."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8)))
+    plain = lambda: " ".join(word() for _ in range(rng.randint(8, 14))).capitalize() + "."
+    junk = lambda: " ".join(rng.choice(("BUY NOW", "$$$", "CLICK|HERE", "***", "100%", "WIN!!!")) for _ in range(rng.randint(3, 6)))
+    rows, marks = [], []
+    for k in range(120):
+        rows.append((k, "\n".join((plain if k % 2 else junk)() for _ in range(rng.randint(4, 12)))))
+        marks.append((k, k % 2))
+    expected = {}
+    for k, (good, bad) in enumerate([(6, 4), (4, 6), (3, 9), (9, 3), (8, 8)], 1000):
+        lines = [plain() for _ in range(good)] + [junk() for _ in range(bad)]
+        rows.append((k, "\n".join(lines)))
+        words = [len(line.split()) for line in lines]
+        expected[k] = sum(words[:good]) / sum(words)
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    chain = quality.fit_lines(documents, labels)
+    found = {r["id"]: r for r in quality.quality(documents, chain).collect()}
+    for k, share in expected.items():
+        assert 0 < found[k]["content_share"] < 1 and found[k]["content_share"] == pytest.approx(share, abs=0.12)
+        assert found[k]["kept"] == (not found[k]["base_failed"] and found[k]["content_share"] >= quality.CONTENT_SHARE)
