@@ -32,7 +32,7 @@ STEP_TOKENS = 8192
 RATE = 0.3
 _FLUSH = 200_000
 _BLOCK = 64  # rows of a weight table that travel together
-_TREE = 32  # trainers whose updates meet in one task
+TRAINER_TOKENS = 1 << 22  # about as many tokens of a round go to one trainer
 _LN10 = math.log(10)
 
 
@@ -244,7 +244,8 @@ class Trainer:
 
 
 def _added(group: pa.Table) -> pa.Table:
-    """Sum of the blocks of one place."""
+    """Sum of the blocks of one place, in the trainers' order."""
+    group = group.sort_by("trainer")
     blocks = group.column("block").to_pylist()
     total = np.frombuffer(blocks[0], np.float32).astype(np.float64)
     for block in blocks[1:]:
@@ -256,12 +257,17 @@ def _added(group: pa.Table) -> pa.Table:
 def train(source: DataFrame, model: Model, rare: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Rounds of distributed updates, each over its own part of the rows of ``source(id, text)``, all of them once.
 
-    Every task starts from the round's weights, steps through its tokens, and sends how far the rows it touched
-    moved. Moves add up, weighted by touches, in a tree of tasks; the driver gets two tables of bounded size.
+    Rows are dealt by id and digest to a number of trainers that follows from the number of tokens, and sorted, so
+    that neither cores nor files change the weights, and a trainer's share does not grow with the corpus (but for
+    a row that is repeated many times, whose copies stream through one trainer). A trainer starts from the round's
+    weights, steps through its tokens, and sends how far the rows it touched moved. Moves add up, weighted by
+    touches, in a tree of tasks; the driver gets two tables of bounded size.
     """
     spark = source.sparkSession
     width = {"class_weights": CLASSES, "class_bias": CLASSES, "word_weights": MEMBERS, "word_bias": MEMBERS}
-    schema = "name string, place int, branch int, block binary"
+    schema = "name string, place int, branch int, trainer int, block binary"
+    trainers = -(-max(1, model.tokens) // (rounds * TRAINER_TOKENS))
+    branches = math.isqrt(trainers) + 1
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast(vars(model))  # plain values: a broadcast is pickled by name
 
@@ -272,18 +278,19 @@ def train(source: DataFrame, model: Model, rare: np.ndarray, rounds: int = ROUND
                 around = contexts(own, lengths)
                 for at in range(0, len(own), STEP_TOKENS):
                     trainer.step(own[at : at + STEP_TOKENS], around[at : at + STEP_TOKENS])
-            branch = TaskContext.get().partitionId() % _TREE
+            number = TaskContext.get().partitionId()
             rows = list(trainer.updates())
             if rows:
                 names, places, blocks = zip(*rows)
                 yield pa.record_batch({
                     "name": list(names), "place": pa.array(places, pa.int32()),
-                    "branch": pa.array([branch] * len(rows), pa.int32()), "block": pa.array(blocks, pa.binary()),
+                    "branch": pa.array([number % branches] * len(rows), pa.int32()),
+                    "trainer": pa.array([number] * len(rows), pa.int32()), "block": pa.array(blocks, pa.binary()),
                 })
 
         part = source.filter(F.pmod(F.xxhash64("id", "digest"), F.lit(rounds)) == turn)
-        trainers = 2 * spark.sparkContext.defaultParallelism
-        moves = part.select("text").coalesce(trainers).mapInArrow(run, schema)
+        dealt = part.select("id", "digest", "text").repartition(trainers, "id", "digest").sortWithinPartitions("id", "digest")
+        moves = dealt.select("text").mapInArrow(run, schema)
         moves = moves.groupBy("name", "place", "branch").applyInArrow(_added, schema)
         moves = moves.groupBy("name", "place").applyInArrow(_added, schema)
         fresh = {n: getattr(model, n).copy() for n in width}

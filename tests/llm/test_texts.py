@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import difflib
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -34,17 +36,79 @@ def test_any_span_and_extension():
 def test_likeness():
     def made(text):
         points = fingerprints.code_points(text)
-        return fingerprints.Print(points, lengths.upto(len(points)))
+        return fingerprints.Print(points)
 
-    lengths = fingerprints.Lengths()
     text = "".join(chr(97 + k * 7 % 26) for k in range(900))
-    assert fingerprints.likeness(made(text), made(text), lengths.upto(900)) == 1
-    near = fingerprints.likeness(made(text), made(text[:600] + "Z" * 300), lengths.upto(900))
+    assert fingerprints.likeness(made(text), made(text)) == 1
+    near = fingerprints.likeness(made(text), made(text[:600] + "Z" * 300))
     assert 0.58 <= near <= 2 / 3
-    assert fingerprints.likeness(made(text), made("Z" * 10 + text[10:]), lengths.upto(900)) > 0.85
-    assert fingerprints.likeness(made(text), made("Q" * 500), lengths.upto(900)) == 0
-    assert fingerprints.likeness(made(""), made(""), lengths.upto(900)) == 1
-    assert fingerprints.likeness(made(""), made("a"), lengths.upto(900)) == 0
+    assert fingerprints.likeness(made(text), made("Z" * 10 + text[10:])) > 0.85
+    assert fingerprints.likeness(made(text), made("Q" * 500)) == 0
+    assert fingerprints.likeness(made(""), made("")) == 1
+    assert fingerprints.likeness(made(""), made("a")) == 0
+
+
+def _changed(text, *places):
+    for at in places:
+        text = text[:at] + ("#" if text[at] != "#" else "?") + text[at + 1 :]
+    return text
+
+
+def _made(text):
+    return fingerprints.Print(fingerprints.code_points(text))
+
+
+def test_likeness_of_texts_changed_at_both_ends():
+    rng = random.Random(5)
+    for size in (500, 5000, 5119, 5121, 40000):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(size))
+        own = _made(text)
+        for places in ((0, size - 1), (size // 100, size - size // 100), (size // 3, size // 2)):
+            assert fingerprints.likeness(own, _made(_changed(text, *places))) > (0.9 if size == 5000 else 0.85)
+        assert fingerprints.likeness(own, _made(_changed(text, size // 2))) > 0.9
+        header = fingerprints.likeness(own, _made("A new header. " + text + " A new footer."))
+        assert header > 0.75
+        halves = _made(text[size // 2 :] + text[: size // 2])
+        assert fingerprints.likeness(own, halves) > 0.85
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "abcdefghijklmnop", "line\n"])
+def test_likeness_of_texts_that_repeat_themselves(unit):
+    text = (unit * 6000)[:6000]
+    own = _made(text)
+    assert len(own.at) <= 4 * 6000 / fingerprints.spacing(6000)
+    assert fingerprints.likeness(own, _made(_changed(text, 5999))) > 0.85
+    assert fingerprints.likeness(own, _made(text[:4000] + "Z" * 2000)) == pytest.approx(2 / 3, abs=0.06)
+
+
+def test_likeness_counts_only_spans_that_both_texts_have():
+    """Against the texts themselves: what is counted is in both, and no more than the shorter text has."""
+    rng = random.Random(9)
+    for turn in range(60):
+        words = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 8))) for _ in range(400)]
+        a = " ".join(words[: rng.randint(1, 400)])
+        cut, other = rng.randint(0, len(a)), " ".join(rng.sample(words, rng.randint(0, 40)))
+        b = a[:cut] + other + a[cut + rng.randint(0, 50) :]
+        pa_, pb = _made(a), _made(b)
+        found = fingerprints.likeness(pa_, pb)
+        assert found == fingerprints.likeness(pb, pa_) and 0 <= found <= 1
+        blocks = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+        longest = sum(m.size for m in blocks) / max(len(a), len(b), 1)
+        kept = (len(a) - 50) / max(len(b), 1)
+        assert found <= max(longest, min(len(a), len(b)) / max(len(a), len(b), 1)) + 1e-9
+        if len(a) > 400 and cut > 100 and len(a) - cut > 200 and kept > 0.9:
+            assert found > 0.7
+
+
+def test_anchors_of_a_common_prefix_are_the_same():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    own, other = _made(text), _made(text[:2000] + "".join(rng.choice("xyz") for _ in range(1000)))
+    assert own.at[own.at < 1900].tolist() == other.at[other.at < 1900].tolist()
+    sums = fingerprints.PrefixHash(fingerprints.code_points(text))
+    for i, j in ((0, 3), (2, 7), (5, 6)):
+        span = own.spans(own.at[[i, j]], own.sums[[i, j]])[0]
+        assert int(span) == sums.span(int(own.at[i]), int(own.at[j])) & ((1 << 31) - 1)
 
 
 def test_edits_equal_brute_force(spark):
@@ -270,6 +334,35 @@ def test_probabilities_add_up(spark):
     assert first[0] == 2 and len(logs) == len(count)
 
 
+def _training_rows(spark):
+    rows = [(k, f"a{k % 40} b{k % 40} c{k % 700} a{(k + 1) % 40}") for k in range(900)]
+    return spark.createDataFrame(rows, "id bigint, text string").selectExpr("*", "md5(text) AS digest")
+
+
+_WEIGHTS = ("class_weights", "class_bias", "word_weights", "word_bias")
+
+
+def test_weights_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 300)  # eight trainers a round
+    df = _training_rows(spark)
+    one, many = (lm.fit(df.repartition(parts))[0] for parts in (1, 7))
+    for name in _WEIGHTS:
+        assert np.array_equal(getattr(one, name), getattr(many, name))
+
+
+def test_weights_equal_a_plain_trainer(spark):
+    df = _training_rows(spark)
+    model, rare, _ = lm.fit(df, rounds=1)
+    plain = lm.Trainer(lm.replace(model, **{n: np.zeros_like(getattr(model, n)) for n in _WEIGHTS}), rare)
+    rows = sorted(df.collect(), key=lambda r: (r["id"], r["digest"]))
+    numbers, lengths, _ = model.numbered([r["text"] for r in rows])
+    around = lm.contexts(numbers, lengths)
+    for at in range(0, len(numbers), lm.STEP_TOKENS):
+        plain.step(numbers[at : at + lm.STEP_TOKENS], around[at : at + lm.STEP_TOKENS])
+    for name in _WEIGHTS:
+        assert getattr(model, name) == pytest.approx(plain.tables[name], rel=1e-4, abs=1e-6)
+
+
 # Tokens
 
 
