@@ -11,7 +11,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,6 +253,16 @@ def _added(group: pa.Table) -> pa.Table:
     return first.set_column(first.schema.names.index("block"), "block", pa.array([total.astype(np.float32).tobytes()], pa.binary()))
 
 
+def _moves(trainer: Trainer, number: int, branches: int) -> pa.RecordBatch:
+    rows = list(trainer.updates())  # each trainer has seen a row, and so an end, at least
+    names, places, blocks = zip(*rows)
+    return pa.record_batch({
+        "name": list(names), "place": pa.array(places, pa.int32()),
+        "branch": pa.array([number % branches] * len(rows), pa.int32()),
+        "trainer": pa.array([number] * len(rows), pa.int32()), "block": pa.array(blocks, pa.binary()),
+    })
+
+
 def train(source: DataFrame, model: Model, rare: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Rounds of distributed updates, each over its own part of the rows of ``source(id, text)``, all of them once.
 
@@ -272,25 +281,27 @@ def train(source: DataFrame, model: Model, rare: np.ndarray, rounds: int = ROUND
         sent = spark.sparkContext.broadcast(vars(model))  # plain values: a broadcast is pickled by name
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trainer = Trainer(Model(**sent.value), rare)
+            trainer, number = None, -1
             for batch in (part for whole in batches for part in slices(whole)):
-                own, lengths, _ = trainer.model.numbered(texts(batch))
-                around = contexts(own, lengths)
-                for at in range(0, len(own), STEP_TOKENS):
-                    trainer.step(own[at : at + STEP_TOKENS], around[at : at + STEP_TOKENS])
-            number = TaskContext.get().partitionId()
-            rows = list(trainer.updates())
-            if rows:
-                names, places, blocks = zip(*rows)
-                yield pa.record_batch({
-                    "name": list(names), "place": pa.array(places, pa.int32()),
-                    "branch": pa.array([number % branches] * len(rows), pa.int32()),
-                    "trainer": pa.array([number] * len(rows), pa.int32()), "block": pa.array(blocks, pa.binary()),
-                })
+                marks = batch.column("trainer").to_numpy()
+                cuts = [0, *(np.nonzero(np.diff(marks))[0] + 1).tolist(), len(marks)]
+                for start, end in zip(cuts, cuts[1:]):
+                    if trainer is None or marks[start] != number:
+                        if trainer is not None:
+                            yield _moves(trainer, number, branches)
+                        trainer, number = Trainer(Model(**sent.value), rare), int(marks[start])
+                    own, lengths, _ = trainer.model.numbered(texts(batch.slice(start, end - start)))
+                    around = contexts(own, lengths)
+                    for at in range(0, len(own), STEP_TOKENS):
+                        trainer.step(own[at : at + STEP_TOKENS], around[at : at + STEP_TOKENS])
+            if trainer is not None:
+                yield _moves(trainer, number, branches)
 
         part = source.filter(F.pmod(F.xxhash64("id", "digest"), F.lit(rounds)) == turn)
-        dealt = part.select("id", "digest", "text").repartition(trainers, "id", "digest").sortWithinPartitions("id", "digest")
-        moves = dealt.select("text").mapInArrow(run, schema)
+        number = F.pmod(F.hash("id", "digest"), F.lit(trainers)).cast("int")
+        dealt = part.select("id", "digest", "text", number.alias("trainer")).repartitionById(trainers, "trainer")
+        dealt = dealt.sortWithinPartitions("trainer", "id", "digest")
+        moves = dealt.select("trainer", "text").mapInArrow(run, schema)
         moves = moves.groupBy("name", "place", "branch").applyInArrow(_added, schema)
         moves = moves.groupBy("name", "place").applyInArrow(_added, schema)
         fresh = {n: getattr(model, n).copy() for n in width}
