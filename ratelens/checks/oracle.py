@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from ratelens.checks.registry import CLASS_FEATURES, LOAD_DATE, MIN_RATINGS, SCALED, TREES, USER_SAMPLE
+from ratelens.checks.registry import (
+    CLASS_FEATURES,
+    LOAD_DATE,
+    MIN_RATINGS,
+    QUANTILE_COLUMNS,
+    QUANTILE_FRACTIONS,
+    SCALED,
+    TREES,
+    USER_SAMPLE,
+)
 from ratelens.functions.text import feature_name
 from ratelens.functions.vocabulary import (
     AGE_RATINGS,
@@ -547,6 +556,13 @@ FROM guessed""",
         "median_impute": _raw(
             f"SELECT anime_id, {', '.join(f'{c} AS {n}' for n, c in _IMPUTED.items())} FROM filled", _FILLED
         ),
+        "exact_quantiles": _raw(
+            "\nUNION ALL ".join(
+                f"""SELECT '{c}' AS "column", {f}::DOUBLE AS fraction, quantile_disc(CAST({c} AS DOUBLE), {f}) AS value FROM raw_ratings"""
+                for c in QUANTILE_COLUMNS
+                for f in QUANTILE_FRACTIONS
+            )
+        ),
         "minmax_scale": _raw(
             f"SELECT anime_id, {_round(_REGRESSION_NORMALIZED)} FROM (SELECT anime_id, "
             + ", ".join(_scaled(c.lower(), f"{c.lower()}_normalized") for c in SCALED)

@@ -12,7 +12,7 @@ from ratelens.functions.casting import to_known_whole
 from ratelens.functions.rules import valid_age_rating, valid_studio
 from ratelens.functions.text import duration_minutes, year_in_text
 from ratelens.functions.vocabulary import AGE_RATINGS, COMPACT_VOCABULARY, GENRES, SOURCES, STUDIOS, TYPES
-from ratelens.operators import behaviour, encoding, profiling, sampling, scaling, star, statistics, trees
+from ratelens.operators import behaviour, encoding, profiling, quantiles, sampling, scaling, star, statistics, trees
 from ratelens.plans import features as feature_plans
 from ratelens.plans import training
 from ratelens.plans.business import QUERIES, quintile_cut_errors
@@ -36,6 +36,8 @@ USER_SAMPLE = 500
 CLASS_FEATURES = tuple(feature_plans.classification_columns())
 TREES = 3  # of which the first levels are checked
 MIN_RATINGS = 10
+QUANTILE_COLUMNS = ("user_id", "anime_id", "rating")
+QUANTILE_FRACTIONS = (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -175,6 +177,10 @@ def median_impute(spark, directory):
     return filled.select("anime_id", *[F.col(f"`{c}`") for c in columns])
 
 
+def exact_quantiles(spark, directory):
+    return quantiles.exact_quantiles(raw_ratings(spark, directory), QUANTILE_COLUMNS, QUANTILE_FRACTIONS)
+
+
 def minmax_scale(spark, directory):
     titles = raw_titles(spark, directory).select("anime_id", *SCALED)
     outputs = [f"{c.lower()}_normalized" for c in SCALED]
@@ -360,6 +366,7 @@ def registered() -> dict[str, Query]:
             "anime_id", to_known_whole(F.col("Episodes")).alias("episodes_clean")
         ),
         "median_impute": median_impute,
+        "exact_quantiles": exact_quantiles,
         "minmax_scale": minmax_scale,
     }
     tables = {
