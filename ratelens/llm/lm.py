@@ -24,7 +24,7 @@ KNOWN, KNOWN_BYTES = 1 << 20, 64
 #: Classes: HEAD_CLASSES times MEMBERS most frequent tokens, and RARE_CLASSES for all others, by their last bytes.
 HEAD_CLASSES, MEMBERS, RARE_CLASSES = 16, 32, 16
 CLASSES = HEAD_CLASSES + RARE_CLASSES
-BUCKETS = 1 << 13
+BUCKETS = 1 << 13  # a power of two: remainders are taken by a mask
 FEATURES = 3
 ROUNDS = 2
 STEP_TOKENS = 8192
@@ -33,6 +33,7 @@ _FLUSH = 200_000
 _BLOCK = 64  # rows of a weight table that travel together
 TRAINER_TOKENS = 1 << 22  # about as many tokens of a round go to one trainer
 _LN10 = math.log(10)
+_LOW = 1e-20  # a sum of exponentials below this is too near the end of single precision
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -121,32 +122,33 @@ def contexts(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         x = (values.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
-        return (x >> np.uint64(40)).astype(np.int64) % BUCKETS
+        return (x >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
 
     both = before * (_START + 1) + skip
     return np.stack([bucket(before, 1), bucket(skip, 1 << 20), bucket(both, 1 << 40)], axis=1)
 
 
 def _word_rows(buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return (buckets * 31 + classes[:, None] * 7919) % BUCKETS
+    return (buckets * 31 + classes[:, None] * 7919) & (BUCKETS - 1)
 
 
-def _across(values: np.ndarray, join) -> np.ndarray:
-    """``join`` over the columns of each row, halves at a time: numpy is slow at short rows."""
-    while (width := values.shape[1]) > 1:
-        half = width // 2
-        folded = join(values[:, :half], values[:, half : 2 * half])
-        if width % 2:
-            folded[:, 0] = join(folded[:, 0], values[:, -1])
-        values = folded
-    return values
+def _softmax(values: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value of column ``own`` of each row, and the exponentials of all in place, with their sums: log p is value - log(sum).
 
-
-def _softmax(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values less the largest of their row, their exponentials, and the sums of these: log p is value - log(sum)."""
-    values -= _across(values, np.maximum)
-    powers = np.exp(values)
-    return values, powers, _across(powers, np.add)
+    All are taken less the largest value of the block, which is one pass; rows so far below it that their sum
+    would lose digits are taken less their own largest.
+    """
+    shifted = values - values.max(initial=-np.inf)
+    powers = np.exp(shifted, out=np.empty_like(shifted))
+    sums = powers @ np.ones(values.shape[1], np.float32)
+    picked = shifted[np.arange(len(own)), own]
+    low = np.nonzero(sums < _LOW)[0]
+    if len(low):
+        again = values[low] - values[low].max(axis=1, keepdims=True)
+        picked[low] = again[np.arange(len(low)), own[low]]
+        powers[low] = np.exp(again)
+        sums[low] = powers[low].sum(axis=1)
+    return picked, powers, sums
 
 
 def _masks(model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +162,8 @@ def _masks(model: Model) -> tuple[np.ndarray, np.ndarray]:
     return of_class, member
 
 
-def _softmaxes(model: Model, masks, buckets, classes):
-    """Softmax over all classes, and over the members of each head token's class."""
+def _logits(model: Model, masks, buckets, classes):
+    """Logits of all classes, places of head tokens and their weights' rows, and logits of their class's members."""
     logits = model.class_weights.take(buckets[:, 0], axis=0)
     for k in range(1, FEATURES):
         logits += model.class_weights.take(buckets[:, k], axis=0)
@@ -172,19 +174,27 @@ def _softmaxes(model: Model, masks, buckets, classes):
     words = (model.word_bias + masks[1]).take(own, axis=0)
     for k in range(FEATURES):
         words += model.word_weights.take(rows[:, k], axis=0)
-    return _softmax(logits), head, rows, _softmax(words)
+    return logits, head, rows, words
+
+
+def _softmaxes(model: Model, masks, buckets, numbers, classes):
+    """Softmax over all classes, and over the members of each head token's class."""
+    logits, head, rows, words = _logits(model, masks, buckets, classes)
+    return _softmax(logits, classes), head, rows, _softmax(words, numbers[head] & (MEMBERS - 1))
 
 
 def _outputs(model: Model, masks, buckets, classes):
-    """Log probabilities of all classes, and of the members of each head token's class."""
-    (of_class, _, class_sums), head, rows, (of_word, _, word_sums) = _softmaxes(model, masks, buckets, classes)
-    return of_class - np.log(class_sums), head, rows, of_word - np.log(word_sums)
+    """Log probabilities of all classes, and of all members of each head token's class."""
+    logits, head, rows, words = _logits(model, masks, buckets, classes)
+    first = [np.zeros(len(v), np.int64) for v in (logits, words)]
+    of_class, of_word = (np.log(p / sums[:, None]) for _, p, sums in map(_softmax, (logits, words), first))
+    return of_class, head, rows, of_word
 
 
 def _ascent(outputs, own: np.ndarray, scale: float) -> np.ndarray:
     """Gradient of the log probabilities of columns ``own``, times ``scale``."""
     _, powers, sums = outputs
-    powers *= -scale / sums
+    powers *= (-scale / sums)[:, None]
     powers[np.arange(len(own)), own] += scale
     return powers
 
@@ -218,7 +228,7 @@ class Trainer:
     def step(self, numbers: np.ndarray, buckets: np.ndarray) -> None:
         model = self.model
         classes = classes_of(numbers, self.rare)
-        of_class, head, rows, of_word = _softmaxes(model, self.masks, buckets, classes)
+        of_class, head, rows, of_word = _softmaxes(model, self.masks, buckets, numbers, classes)
         scale = 1.0 / math.sqrt(len(numbers))
         grad = _ascent(of_class, classes, scale)
         _descend(model.class_weights, self.seen["class_weights"], self.touched["class_weights"], buckets, grad)
@@ -327,9 +337,9 @@ def score_tokens(model: Model, rare: np.ndarray, masks, values: list[str]):
     for at in range(0, len(numbers), STEP_TOKENS):
         some, around = numbers[at : at + STEP_TOKENS], buckets[at : at + STEP_TOKENS]
         classes = classes_of(some, rare)
-        of_class, head, _, of_word = _outputs(model, masks, around, classes)
-        log = of_class[np.arange(len(some)), classes].astype(np.float64)
-        log[head] += of_word[np.arange(len(head)), some[head] % MEMBERS]
+        (of_class, _, class_sums), head, _, (of_word, _, word_sums) = _softmaxes(model, masks, around, some, classes)
+        log = (of_class - np.log(class_sums)).astype(np.float64)
+        log[head] += of_word - np.log(word_sums)
         scarce = np.nonzero(classes >= HEAD_CLASSES)[0]
         own = classes[scarce] - HEAD_CLASSES
         log[scarce] -= np.log(model.rare_tokens[own] + model.rare_types[own] + 1)

@@ -444,3 +444,14 @@ def test_lines_of_a_mixed_text_are_told_apart(spark):
     for k, share in expected.items():
         assert 0 < found[k]["content_share"] < 1 and found[k]["content_share"] == pytest.approx(share, abs=0.12)
         assert found[k]["kept"] == (not found[k]["base_failed"] and found[k]["content_share"] >= quality.CONTENT_SHARE)
+
+
+def test_softmax_keeps_digits_of_rows_far_below_the_largest_value():
+    values = np.array([[0.0, 1.0, -np.inf], [-200.0, -201.0, -200.5], [-3e4, -np.inf, -3e4]], np.float32)
+    own = np.array([1, 0, 2])
+    picked, powers, sums = lm._softmax(values, own)
+    plain = values.astype(np.float64) - values.max(axis=1, keepdims=True)
+    plain = plain - np.log(np.exp(plain).sum(axis=1, keepdims=True))
+    assert np.allclose(picked - np.log(sums), plain[np.arange(3), own], atol=1e-6)
+    assert np.allclose(powers / sums[:, None], np.exp(plain), atol=1e-6)
+    assert [v.shape for v in lm._softmax(values[:0], own[:0])] == [(0,), (0, 3), (0,)]
