@@ -8,6 +8,7 @@ from ratelens.checks.registry import (
     MIN_RATINGS,
     QUANTILE_COLUMNS,
     QUANTILE_FRACTIONS,
+    REPLICATES,
     SCALED,
     TREES,
     USER_SAMPLE,
@@ -23,6 +24,7 @@ from ratelens.functions.vocabulary import (
     TYPES,
 )
 from ratelens.operators.behaviour import PROFILE_COLUMNS, SCALED_COLUMNS
+from ratelens.operators.bootstrap import DRAWS, poisson_cuts
 from ratelens.plans import features as feature_plans
 
 
@@ -448,7 +450,7 @@ FROM (SELECT user_id, gender AS Gender, count(*) OVER (PARTITION BY gender) AS n
       FROM raw_users WHERE gender IS NOT NULL)"""
 
 _BY_RULE = """, guessed AS (
-  SELECT CAST(gender = 'Female' AS INTEGER) AS actual, CAST(completed >= 5000 AS INTEGER) AS predicted
+  SELECT user_id, CAST(gender = 'Female' AS INTEGER) AS actual, CAST(completed >= 5000 AS INTEGER) AS predicted
   FROM raw_users WHERE gender IN ('Male', 'Female')
 )"""
 _REPORT = f"""{_BY_RULE}, per_class AS (
@@ -482,6 +484,28 @@ _LEFT_TITLES = """SELECT r.* REPLACE (CAST(r.rated_on AS VARCHAR) AS rated_on),
 FROM raw_ratings r LEFT JOIN (SELECT * FROM raw_titles WHERE type IS NOT NULL) t USING (anime_id)"""
 
 
+def _intervals(rows: str, sums: dict[str, str], metrics: dict[str, str]) -> str:
+    """Poisson bootstrap of ``rows``, which have a column ``key``: weights from the draws of each block's digest."""
+    weight = " + ".join(f"CAST(draw >= {cut} AS INTEGER)" for cut in poisson_cuts())
+    weighted = ", ".join(f"sum(w * ({value})) AS {name}" for name, value in sums.items())
+    each = "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS metric, round(max(v) FILTER (WHERE replicate = 0), 6) AS estimate,
+  round(quantile_cont(v, 0.025) FILTER (WHERE replicate > 0), 6) AS low,
+  round(quantile_cont(v, 0.975) FILTER (WHERE replicate > 0), 6) AS high,
+  count(v) FILTER (WHERE replicate > 0) AS replicates FROM (SELECT replicate, {value} AS v FROM summed)"""
+        for name, value in metrics.items()
+    )
+    return f""", drawn AS (
+  SELECT *, block * {DRAWS} + j + 1 AS replicate, ('0x' || substr(digest, CAST(1 + 8 * j AS BIGINT), 8))::BIGINT AS draw
+  FROM (SELECT *, md5('42:' || block || ':' || key) AS digest FROM ({rows}), range({-(-REPLICATES // DRAWS)}) b(block)),
+    range({DRAWS}) r(j)
+), weighted AS (
+  SELECT * EXCLUDE (draw), {weight} AS w FROM drawn WHERE replicate <= {REPLICATES}
+  UNION ALL SELECT * EXCLUDE (draw) REPLACE (0 AS replicate), 1 AS w FROM drawn WHERE replicate = 1
+), summed AS (SELECT replicate, sum(w)::DOUBLE AS n, {weighted} FROM weighted GROUP BY replicate)
+{each}"""
+
+
 def oracles() -> dict[str, str]:
     """SQL by query key; model training has none."""
     sql = {name: _star(query) for name, query in BUSINESS.items()}
@@ -524,6 +548,27 @@ WHERE User_Total_Completed IS NOT NULL GROUP BY share"""),
 FROM raw_ratings r JOIN numbers USING (anime_id)""",
             _NUMBERS,
         ),
+        "regression_intervals": _raw(
+            _intervals(
+                "SELECT user_id || ':' || anime_id AS key, score AS y, score - r.rating AS e "
+                "FROM raw_ratings r JOIN numbers USING (anime_id) WHERE score IS NOT NULL",
+                {"squared": "e * e", "size": "abs(e)", "y": "y", "yy": "y * y"},
+                {"rmse": "sqrt(squared / n)", "mae": "size / n", "r2": "1 - squared / nullif(yy - y * y / n, 0)"},
+            ),
+            _NUMBERS,
+        ),
+        "classification_intervals": _raw(
+            _intervals(
+                "SELECT CAST(user_id AS VARCHAR) AS key, actual, predicted FROM guessed",
+                {
+                    "good": "CAST(actual = predicted AS INTEGER)::DOUBLE",
+                    "found": "(actual * predicted)::DOUBLE",
+                    "total": "(actual + predicted)::DOUBLE",
+                },
+                {"accuracy": "good / n", "f1": "coalesce(found * 2 / nullif(total, 0), 0)"},
+            ),
+            _BY_RULE,
+        ),
         "class_confusion": _raw("SELECT actual, predicted, count(*) AS n FROM guessed GROUP BY ALL", _BY_RULE),
         "classification_metrics": _raw(
             """SELECT round(avg(CAST(actual = predicted AS INTEGER)), 6) AS accuracy,

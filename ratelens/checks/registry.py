@@ -12,7 +12,7 @@ from ratelens.functions.casting import to_known_whole
 from ratelens.functions.rules import valid_age_rating, valid_studio
 from ratelens.functions.text import duration_minutes, year_in_text
 from ratelens.functions.vocabulary import AGE_RATINGS, COMPACT_VOCABULARY, GENRES, SOURCES, STUDIOS, TYPES
-from ratelens.operators import behaviour, encoding, profiling, quantiles, sampling, scaling, star, statistics, trees
+from ratelens.operators import behaviour, bootstrap, encoding, profiling, quantiles, sampling, scaling, star, statistics, trees
 from ratelens.plans import features as feature_plans
 from ratelens.plans import training
 from ratelens.plans.business import QUERIES, quintile_cut_errors
@@ -36,6 +36,7 @@ USER_SAMPLE = 500
 CLASS_FEATURES = tuple(feature_plans.classification_columns())
 TREES = 3  # of which the first levels are checked
 MIN_RATINGS = 10
+REPLICATES = 100
 QUANTILE_COLUMNS = ("user_id", "anime_id", "rating")
 QUANTILE_FRACTIONS = (0.01, 0.25, 0.5, 0.75, 0.99)
 
@@ -132,13 +133,14 @@ def _ratings_as_predictions(spark, directory):
     """Each rating taken as a prediction of its title's score."""
     scored = feature_plans.extract_numbers(raw_titles(spark, directory)).select("anime_id", "Score")
     rated = raw_ratings(spark, directory).join(scored, "anime_id")
-    return rated.select("Score", F.col("rating").cast("double").alias("prediction"))
+    return rated.select("user_id", "anime_id", "Score", F.col("rating").cast("double").alias("prediction"))
 
 
 def _classes_by_rule(spark, directory):
     """Users of a known class; those with 5,000 completed titles and more are predicted as class 1."""
     known = _users(spark, directory).filter(F.col("Gender").isin("Male", "Female"))
     return known.select(
+        "user_id",
         F.when(F.col("Gender") == "Female", 1).otherwise(0).alias("gender_encoded"),
         F.when(F.col("Completed") >= 5000, 1.0).otherwise(0.0).alias("prediction"),
     )
@@ -248,7 +250,7 @@ def _trained_regression(spark, directory):
     )
     train, test = (saved.filter(F.col("split") == s) for s in ("train", "test"))
     names = feature_plans.feature_columns(saved, (*feature_plans.REGRESSION_IDS, "split"))
-    return training.rank_regressors(train, test, names, models_path=stored_path(spark, directory, "models"))
+    return training.rank_regressors(train, test, names, models_path=stored_path(spark, directory, "models"), key=["anime_id"])
 
 
 def _split_users(spark, directory):
@@ -307,7 +309,7 @@ def _trained_classification(spark, directory):
     saved = writers.materialize(spark, scratch_path(spark, "classification"), lambda: table)
     train, test = (saved.filter(F.col("split") == s) for s in ("train", "test"))
     names = feature_plans.feature_columns(saved, (*feature_plans.CLASSIFICATION_IDS, "split"))
-    return training.rank_classifiers(train, test, names, models_path=stored_path(spark, directory, "models"))
+    return training.rank_classifiers(train, test, names, models_path=stored_path(spark, directory, "models"), key=["user_id"])
 
 
 def classification_report(spark, directory):
@@ -398,6 +400,12 @@ def registered() -> dict[str, Query]:
         "regression_metrics": lambda s, d: comparable(
             training.regression_metrics(_ratings_as_predictions(s, d), "Score")
         ),
+        "regression_intervals": lambda s, d: comparable(
+            bootstrap.regression_intervals(_ratings_as_predictions(s, d), "Score", ["user_id", "anime_id"], REPLICATES)
+        ),
+        "classification_intervals": lambda s, d: comparable(
+            bootstrap.classification_intervals(_classes_by_rule(s, d), "gender_encoded", ["user_id"], REPLICATES)
+        ),
         "class_confusion": lambda s, d: training.confusion(_classes_by_rule(s, d), "gender_encoded"),
         "classification_metrics": lambda s, d: comparable(
             training.classification_metrics(_classes_by_rule(s, d), "gender_encoded")

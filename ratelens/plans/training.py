@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.text import feature_name
+from ratelens.operators import bootstrap
 from ratelens.plans.extra_trees import ExtraTreesRegressor
 from ratelens.sources.readers import path_exists
 
@@ -213,9 +214,14 @@ def train_and_rank(
     best_first: str,
     descending: bool,
     models_path: str | None = None,
+    key: Sequence[str] = (),
+    intervals: Callable[[DataFrame, str, Sequence[str]], DataFrame] | None = None,
 ) -> Ranking:
     """Train or load every model, measure it on ``test`` and rank by one metric.
 
+    With ``key``, the columns that identify a row, predictions keep these and the leaderboard has the bounds that
+    ``intervals`` gives for the metric, drawn alike for all models.
+
     A model that fails is left out and reported. The leaderboard has one row per model, so ordering it
     and naming the best one moves a handful of rows.
     """
@@ -228,13 +234,16 @@ def train_and_rank(
             start = time.monotonic()
             try:
                 model, status = train_or_load(spec, train, features, label, models_path)
-                predicted = model.transform(test).select(label, "prediction")
-                measured = metrics(predicted, label).first()
+                predicted = model.transform(test).select(*key, label, "prediction")
+                measured = metrics(predicted, label).first().asDict()
+                if key and intervals:
+                    bounds = intervals(predicted, label, key).filter(F.col("metric") == best_first).first()
+                    measured |= {f"{best_first}_low": bounds["low"], f"{best_first}_high": bounds["high"]}
             except Exception as error:  # one failing model must not hide the others
                 failures[spec.name] = str(error)
                 continue
             predictions[spec.name] = predicted
-            rows.append({"model": spec.name, **measured.asDict(), "seconds": time.monotonic() - start, "status": status})
+            rows.append({"model": spec.name, **measured, "seconds": time.monotonic() - start, "status": status})
     finally:
         train.unpersist()
     if not rows:
@@ -248,13 +257,19 @@ def train_and_rank(
     return Ranking(leaderboard, predictions, best, failures)
 
 
-def rank_regressors(train, test, features, label="Score", models_path=None, specs=None) -> Ranking:
-    """Regression models by RMSE, lowest first."""
+def rank_regressors(train, test, features, label="Score", models_path=None, specs=None, key=()) -> Ranking:
+    """Regression models by RMSE, lowest first, with its interval when rows have a ``key``."""
     specs = specs or regression_models()
-    return train_and_rank(train, test, features, label, specs, regression_metrics, "rmse", False, models_path)
+    return train_and_rank(
+        train, test, features, label, specs, regression_metrics, "rmse", False, models_path,
+        key, bootstrap.regression_intervals,
+    )
 
 
-def rank_classifiers(train, test, features, label="gender_encoded", models_path=None, specs=None) -> Ranking:
-    """Classification models by F1 of the positive class, highest first."""
+def rank_classifiers(train, test, features, label="gender_encoded", models_path=None, specs=None, key=()) -> Ranking:
+    """Classification models by F1 of the positive class, highest first, with its interval when rows have a ``key``."""
     specs = specs or classification_models()
-    return train_and_rank(train, test, features, label, specs, classification_metrics, "f1", True, models_path)
+    return train_and_rank(
+        train, test, features, label, specs, classification_metrics, "f1", True, models_path,
+        key, bootstrap.classification_intervals,
+    )
