@@ -26,6 +26,7 @@ from ratelens.functions.vocabulary import (
 from ratelens.operators.behaviour import PROFILE_COLUMNS, SCALED_COLUMNS
 from ratelens.operators.bootstrap import DRAWS, poisson_cuts
 from ratelens.plans import features as feature_plans
+from ratelens.plans.runner import BATCHES
 
 
 def _text(value: str) -> str:
@@ -528,6 +529,17 @@ def oracles() -> dict[str, str]:
         "dataset_sample": _star(f"{_DIM_USER} ORDER BY User_SK LIMIT 3"),
         "numeric_stats": _star(_NUMERIC_STATS),
         "numeric_assessment": _star(_ASSESSMENT),
+        "written_dataset_info": _star(_info("dim_user", _USER_TYPES, True)),
+        "written_statistics": _star(_NUMERIC_STATS),
+        "written_assessment": _star(_ASSESSMENT),
+        "batch_status": _star(
+            "\nUNION ALL ".join(
+                f"SELECT '{batch}' AS batch, '{name}' AS query, 'ok' AS status, count(*) AS row_count FROM ({BUSINESS[name]})"
+                for batch, names in BATCHES.items()
+                for name in names
+            )
+        ),
+        "ratings_renamed": _raw(f"SELECT * REPLACE ({_DAY}) FROM raw_ratings"),
         "quality_report": _raw(f"""SELECT CAST(sum(n) AS BIGINT) AS row_count,
   CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(({_EMPTY}) * n) AS BIGINT) AS null_cells,
   round(sum(({_EMPTY}) * n) * 100.0::DOUBLE / (sum(n) * {len(_CELLS)}), 6) AS null_percentage

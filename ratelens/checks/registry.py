@@ -16,6 +16,7 @@ from ratelens.operators import behaviour, bootstrap, encoding, profiling, quanti
 from ratelens.plans import features as feature_plans
 from ratelens.plans import training
 from ratelens.plans.business import QUERIES, quintile_cut_errors
+from ratelens.plans.runner import BATCHES, run_batch
 from ratelens.session import scratch_path, stored
 from ratelens.sources import ingest, readers, writers
 from ratelens.sources.retail import raw_ratings, raw_titles, raw_users, retail_star, stored_path
@@ -37,6 +38,7 @@ CLASS_FEATURES = tuple(feature_plans.classification_columns())
 TREES = 3  # of which the first levels are checked
 MIN_RATINGS = 10
 REPLICATES = 100
+AT_ONCE = 4
 QUANTILE_COLUMNS = ("user_id", "anime_id", "rating")
 QUANTILE_FRACTIONS = (0.01, 0.25, 0.5, 0.75, 0.99)
 
@@ -146,6 +148,48 @@ def _classes_by_rule(spark, directory):
     )
 
 
+def batch_status(spark, directory):
+    """All batches of queries, several queries at once, with the rows that each has written."""
+    results = retail_star(spark, directory)
+    tables = []
+    for batch in BATCHES:
+        path = scratch_path(spark, batch)
+        status = run_batch(spark, results, batch, path, formats="parquet", parameters=PARAMETERS, at_once=AT_ONCE)
+        tables.append(status.select(F.lit(batch).alias("batch"), "query", "status", "row_count"))
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
+def written_dataset_info(spark, directory):
+    """The column profile as the writer leaves it."""
+    path = scratch_path(spark, "info")
+    profile = writers.write_dataset_info(retail_star(spark, directory).dim_user, path)
+    return comparable(spark.read.schema(profile.schema).json(f"{path}/dataset_info.json"))
+
+
+def written_statistics(spark, directory):
+    """The fact's statistics as the writer leaves them as CSV."""
+    path = scratch_path(spark, "statistics")
+    known = writers.write_numeric_statistics(retail_star(spark, directory).fact, path)
+    kinds = dict(known.dtypes)
+    return comparable(readers.read_csv(spark, f"{path}/numeric_statistics.csv", kinds, multi_line=False))
+
+
+def written_assessment(spark, directory):
+    """The titles' assessment as the writer leaves it."""
+    path = scratch_path(spark, "assessment")
+    titles = retail_star(spark, directory).dim_anime
+    writers.write_numeric_statistics(titles, path)
+    schema = profiling.assess_numeric(profiling.numeric_statistics(titles)).schema
+    return comparable(spark.read.schema(schema).json(f"{path}/numeric_assessment.json"))
+
+
+def ratings_renamed(spark, directory):
+    """Ratings whose columns have names of other data sets."""
+    names = {"user_id": "USERID", "anime_id": "Item", "rating": "Score"}
+    other = {"user_id": ["userid"], "anime_id": ["item", "title_id"], "rating": ["score"]}
+    return comparable(readers.with_standard_names(raw_ratings(spark, directory).withColumnsRenamed(names), other))
+
+
 def known_users(spark, directory):
     women = _users(spark, directory).filter(F.col("Gender") == "Female")
     return comparable(readers.ratings_of_known_users(raw_ratings(spark, directory), women))
@@ -341,12 +385,19 @@ def registered() -> dict[str, Query]:
             profiling.quality_report(left_titles(s, d))
         ),
     }
+    profiles |= {
+        "written_dataset_info": written_dataset_info,
+        "written_statistics": written_statistics,
+        "written_assessment": written_assessment,
+        "batch_status": batch_status,
+    }
     sources = {
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
         "csv_quoted_roundtrip": csv_quoted_roundtrip,
         "csv_split": csv_split,
         "csv_quarantine": csv_quarantine,
+        "ratings_renamed": ratings_renamed,
         "ratings_of_known_users": known_users,
         "ratings_left_items": left_titles,
     }

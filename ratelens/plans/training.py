@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import feature_name
 from ratelens.operators import bootstrap
 from ratelens.plans.extra_trees import ExtraTreesRegressor
+from ratelens.session import raise_if_stopped
 from ratelens.sources.readers import path_exists
 
 
@@ -240,6 +241,7 @@ def train_and_rank(
                     bounds = intervals(predicted, label, key).filter(F.col("metric") == best_first).first()
                     measured |= {f"{best_first}_low": bounds["low"], f"{best_first}_high": bounds["high"]}
             except Exception as error:  # one failing model must not hide the others
+                raise_if_stopped(spark)
                 failures[spec.name] = str(error)
                 continue
             predictions[spec.name] = predicted

@@ -26,6 +26,12 @@ def build_session(app_name: str = "ratelens", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def raise_if_stopped(spark: SparkSession) -> None:
+    """Within a handler of errors: pass the error on if the application has ended, as then it isn't one of a query."""
+    if spark.sparkContext._jsc.sc().isStopped():
+        raise
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
