@@ -119,13 +119,11 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : n + k]
     order = np.argsort(key, kind="stable").astype(np.int32)
-    ranked = key[order]
     # A suffix that ends within the 8 bytes looks like one that goes on with zeros; the shorter sorts first.
-    short = order > n - 8
+    order = order[np.lexsort((np.where(order > n - 8, n - order, 9), key[order]))]
+    ranked, short = key[order], order > n - 8
     heads = np.ones(n, bool)
     heads[1:] = (ranked[1:] != ranked[:-1]) | short[1:] | short[:-1]
-    if short.any():
-        order = order[np.lexsort((np.where(order > n - 8, n - order, 9), ranked))]
     del key, ranked
     rank = np.empty(n, np.int32)
     rank[order] = np.maximum.accumulate(np.where(heads, np.arange(n, dtype=np.int32), 0))
@@ -154,7 +152,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     """How many first bytes, up to ``depth``, each suffix of ``order`` shares with the one before it; the first: 0.
 
     Kasai's walk goes through the text from left to right, as the next suffix shares at most one byte less. It is done
-    in lanes: as many places of the text as there are lanes go on together, in numpy.
+    in lanes: as many places of the text as there are lanes go on together, in numpy. Suffixes that share ``depth`` bytes
+    are in any order, and those one byte on may be in the other one: there the walk starts anew, unless it meets the
+    same pair again.
     """
     n = len(data)
     before = np.full(n, -1, np.int32)
@@ -172,13 +172,15 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
         h += more
         done = ~more
         shared[i[done]] = h[done]
+        tied = done & (h == depth)
         i += done
         h = np.where(done, np.maximum(h - 1, 0), h)
         going = i < ends
         if not going.all():
-            i, ends, h, j = i[going], ends[going], h[going], j[going]
-        moved = done[going]
-        j[moved] = before[i[moved]]
+            i, ends, h, j, done, tied = (x[going] for x in (i, ends, h, j, done, tied))
+        after = j + 1
+        j[done] = before[i[done]]
+        h[tied & (j != after)] = 0
     return shared[order]
 
 

@@ -118,3 +118,29 @@ def test_edge_cases(spark, documents, no_documents, clashing):
     assert by[1]["n_removed"] == by[1]["n_bytes"] == by[2]["n_removed"] and by[1]["n_spans"] == 1
     assert by[4]["n_bytes"] == by[5]["n_bytes"] == by[6]["n_removed"] == 0
     assert by[8]["n_removed"] == by[8]["n_bytes"] and by[9]["n_removed"] == by[9]["n_bytes"]  # periodic in themselves
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "\0a"])
+def test_classes_of_windows_equal_brute_force(letters):
+    """Long repeats that go on differently, where suffixes tie in front of them, and zero bytes at the end of a shard."""
+    for seed in range(40):
+        rng = random.Random(seed)
+        text = lambda n: "".join(rng.choice(letters) for _ in range(n)).encode()
+        shared = [text(rng.randint(250, 420)) for _ in range(3)]
+        pieces = [text(rng.randint(0, 60)) + rng.choice(shared)[rng.randrange(50) :] + text(rng.randint(0, 60)) for _ in range(12)]
+        pieces.append(b"\0" * 300)
+        found, known = {}, {}
+        for p, s, k in zip(*(x.tolist() for x in repeats.equal_windows(pieces, 200))):
+            found.setdefault(k, set()).add((p, s))
+        for p, piece in enumerate(pieces):
+            for s in range(len(piece) - 199):
+                known.setdefault(piece[s : s + 200], set()).add((p, s))
+        assert sorted(map(sorted, found.values())) == sorted(map(sorted, known.values())), seed
+
+
+def test_zero_bytes(spark):
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("\0a") for _ in range(n))
+    shared = [text(400) for _ in range(3)]
+    texts = [text(rng.randint(0, 60)) + rng.choice(shared)[rng.randrange(50) :] + text(rng.randint(0, 60)) for _ in range(30)]
+    check(spark, [*texts, "\0" * 700, "b" + "\0" * 400, "\0" * 199, "c" * 199 + "\0"])
