@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.operators.quantiles import quantile_values
+from ratelens.session import stored
+
 
 def feature_target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of every feature with the target (NULL for a constant feature).
@@ -28,12 +31,13 @@ def feature_target_correlation(df: DataFrame, features: Sequence[str], target: s
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
-    """Count, mean, median, deviation, minimum, maximum, range and skewness of the target."""
+    """Count, mean, exact median, deviation, minimum, maximum, range and skewness of the target."""
     value = F.col(f"`{target}`")
+    median = quantile_values(stored(df.select(value), "target"), [target], [0.5])[target, 0.5]
     return df.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
-        F.percentile_approx(value, 0.5, 10000).alias("median"),
+        F.lit(median).cast(df.schema[target].dataType).alias("median"),
         F.stddev_samp(value).alias("stddev"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
