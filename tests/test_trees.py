@@ -7,6 +7,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ratelens.session import stored
 from ratelens.operators import trees
 from ratelens.plans.extra_trees import ExtraTreesRegressor
 
@@ -107,3 +108,18 @@ def test_stage_beats_a_constant_agrees_with_reruns_and_is_loaded(spark, rows, tm
     assert order(Pipeline(stages=stages).fit(train.repartition(7)).transform(test)) == order(predicted)
     model.write().save(str(tmp_path / "model"))
     assert order(PipelineModel.load(str(tmp_path / "model")).transform(test)) == order(predicted)
+
+
+def test_rows_are_never_sent_beside_their_nodes(spark, monkeypatch):
+    """Rows look small to Spark, as their arrays compress well; with many nodes neither side is sent."""
+    table = stored(spark.range(4000).select(F.array((F.col("id") % 7).cast("double"), F.lit(0.0), (F.col("id") % 2).cast("double")).alias("x"), (F.col("id") % 5).alias("y")), "rows")
+    rows = trees.place(table, 3)
+    found = {}
+    for most in (1024, 0):
+        monkeypatch.setattr(trees, "SENT_NODES", most)
+        splits = stored(trees.best_splits(rows, 42), "level")
+        below = trees.children(rows, splits)
+        found[most] = sorted(map(str, below.collect())), sorted(map(str, splits.collect()))
+        plan = below._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (most > 0) and "BuildLeft" not in plan
+    assert found[0] == found[1024] and len(found[0][0]) == 12_000
