@@ -171,3 +171,15 @@ def test_medians_are_exact_beyond_a_sketch(spark):
         assert fit[f"median {name}"] == exact and isinstance(fit[f"median {name}"], int)
     distribution = statistics.target_distribution(rows, "c3").first()
     assert distribution["median"] == int(table["c3"].sort_values().iloc[149_999])
+
+
+def test_titles_are_merged_and_tasks_bounded(spark, titles, monkeypatch):
+    """Neither all titles' indicators are sent to the executors, nor do tasks hold more rows as the input grows."""
+    ratings = spark.range(3000).selectExpr("id % 50 AS user_id", "id % 7 AS anime_id", "cast(id % 10 + 1 as int) AS rating")
+    whole = behaviour.user_behaviour(ratings, titles)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    monkeypatch.setattr(behaviour, "ROWS_PER_TASK", 100)
+    split = behaviour.user_behaviour(ratings, titles)
+    assert "REPARTITION_BY_NUM" in (plan := split._jdf.queryExecution().executedPlan().toString()) and ", 32)" in plan
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
