@@ -31,8 +31,11 @@ def sliced_join(
     """Equi-join of ``big`` with ``small`` (one row per key), spreading each hot key over its slices.
 
     A hot key's rows go to a slice by the hash of ``spread_by``; its one row of ``small`` is repeated
-    once per slice, so the result is the plain join's.
+    once per slice, so the result is the plain join's. ``hot`` is broadcast, as it is a small share of the keys; left to
+    adaptive execution, ``big`` was shuffled once more before it was known to be small. ``small`` is hashed, so
+    that the rows of ``big`` need no sort.
     """
+    hot = F.broadcast(hot)
     slices = F.coalesce(F.col("__slices"), F.lit(1))
     left = big.join(hot, key, "left").withColumn("__slice", F.pmod(F.xxhash64(*spread_by), slices)).drop("__slices")
     right = (
@@ -40,7 +43,7 @@ def sliced_join(
         .withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices.cast("bigint") - 1)))
         .drop("__slices")
     )
-    return left.join(right, [key, "__slice"], how).drop("__slice")
+    return left.join(right.hint("shuffle_hash"), [key, "__slice"], how).drop("__slice")
 
 
 def with_group_stats(

@@ -89,3 +89,17 @@ def test_adaptive_execution_splits_a_hot_user_of_the_fact_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_group_stats_shuffle_the_rows_once(spark, skewed, tmp_path):
+    setting, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    skewed.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    try:
+        spark.conf.set(setting, "-1")
+        result = joins.with_group_stats(rows, "k", [F.count("*").alias("n")], ["id"], rows_per_slice=100)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert result.count() == 2000
+    finally:
+        spark.conf.set(setting, before)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2  # of the rows, and of the groups
