@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.casting import typed
 from ratelens.operators.ranking import dense_row_number
+from ratelens.session import side_by_side
 
 # Raw column -> dimension column and type.
 USER_COLUMNS = (
@@ -146,27 +147,25 @@ def ratings_fact(
     """Ratings of known users and titles with keys, deviation and flags.
 
     The date key belongs to ``date_column`` when the source has one, else to the load date; with a
-    ``dim_date`` it is looked up there, and days outside that calendar get no key. Dimensions are joined
-    without a hint: under the broadcast threshold they are broadcast, beyond it adaptive execution
-    splits hot users and titles of the shuffled join.
+    ``dim_date`` it is looked up there, and days outside that calendar get no key. Titles are joined without a
+    hint: under the broadcast threshold they are broadcast, beyond it adaptive execution splits hot titles of the
+    shuffled join. Users come last and always by a shuffle, a task's ids and keys being hashed, so that a user's
+    ratings end up in one task without another shuffle; adaptive execution splits hot users.
     """
     if date_column:
         day = F.col(date_column).cast("date")
     else:
         day = F.lit(load_date).cast("date") if load_date else F.current_date()
-    rows = (
-        ratings.select(
-            F.col("user_id").alias("User_ID"),
-            F.col("anime_id").alias("Anime_ID"),
-            typed(F.col("rating"), "int").alias("User_Rating"),
-            date_key(day).alias("Date_SK"),
-        )
-        .join(dim_user.select("User_SK", "User_ID"), "User_ID")
-        .join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score"), "Anime_ID")
-    )
+    rows = ratings.select(
+        F.col("user_id").alias("User_ID"),
+        F.col("anime_id").alias("Anime_ID"),
+        typed(F.col("rating"), "int").alias("User_Rating"),
+        date_key(day).alias("Date_SK"),
+    ).join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score"), "Anime_ID")
     if dim_date is not None:
         known = dim_date.select(F.col("Date_SK").alias("__day"))
         rows = rows.join(known, F.col("Date_SK") == F.col("__day"), "left").withColumn("Date_SK", F.col("__day"))
+    rows = rows.join(dim_user.select("User_SK", "User_ID").hint("shuffle_hash"), "User_ID")
     rating = F.col("User_Rating")
     return rows.select(
         "User_SK",
@@ -194,7 +193,9 @@ def build_star(
     which is far cheaper to read than the ratings are to compute again. Otherwise it is the default range,
     extended to the load date, which is today unless given.
     """
-    dim_user, dim_anime = user_dimension(users), title_dimension(titles)
+    dim_user, dim_anime = side_by_side(
+        ratings.sparkSession, lambda: user_dimension(users), lambda: title_dimension(titles)
+    )
     if date_column:
         return Star(dim_user, dim_anime, None, ratings_fact(ratings, dim_user, dim_anime, None, date_column))
     day = load_date or datetime.date.today().isoformat()

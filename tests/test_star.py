@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratelens.operators.star import STAR_SCHEMAS, build_star, date_dimension, date_dimension_of, ratings_fact
+from ratelens.sources import writers
 from ratelens.sources.readers import load_star
 from ratelens.sources.writers import ensure_star, save_star
 
@@ -110,3 +111,24 @@ def test_calendar_covers_the_load_date(users, titles, ratings, day):
     assert made.fact.join(made.dim_date, "Date_SK", "left_anti").isEmpty()
     if day:
         assert [r[0] for r in made.fact.select("Date_SK").distinct().collect()] == [int(day.replace("-", ""))]
+
+
+def test_ratings_are_dealt_to_users_by_the_join_itself(spark, star, ratings, tmp_path):
+    ratings.write.parquet(str(tmp_path / "ratings"))
+    stored = spark.read.parquet(str(tmp_path / "ratings"))
+    fact = ratings_fact(stored, star.dim_user, star.dim_anime, star.dim_date, load_date="2024-02-29")
+    save_star(star._replace(fact=fact), str(tmp_path / "star"))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [User_ID" in plan and "rebalance" not in plan.lower()
+    files = load_star(spark, str(tmp_path / "star")).fact.withColumn("file", F.input_file_name())
+    assert files.count() == 12
+    assert files.groupBy("User_SK").agg(F.countDistinct("file").alias("n")).filter("n > 1").isEmpty()
+
+
+def test_a_large_user_is_split_into_files(spark, users, titles, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FACT_ROWS_PER_FILE", 100)
+    many = spark.range(1000).select(F.lit(30).alias("user_id"), F.lit(7).alias("anime_id"), (F.col("id") % 10).alias("rating"))
+    save_star(build_star(users, titles, many, load_date="2024-02-29"), str(tmp_path / "star"))
+    fact = load_star(spark, str(tmp_path / "star")).fact
+    sizes = [r["count"] for r in fact.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 100
