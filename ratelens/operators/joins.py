@@ -11,6 +11,20 @@ from ratelens.session import stored
 
 ROWS_PER_SLICE = 2_000_000
 
+#: Rows of a dimension that are broadcast; more are hashed task by task.
+BROADCAST_ROWS = 100_000
+
+
+def join_selected(big: DataFrame, selected: DataFrame, key: str) -> DataFrame:
+    """Inner equi-join of ``big`` with those rows of a dimension (one row per key) that a filter leaves.
+
+    How few a filter leaves is not known when a join is planned, so ``big`` was shuffled and sorted beside a handful of
+    rows. ``selected`` is stored and its rows counted: few are broadcast, more are hashed, so that ``big`` needs no sort.
+    """
+    selected = stored(selected, "selected")
+    few = selected.count() <= BROADCAST_ROWS
+    return big.join(selected.hint("broadcast" if few else "shuffle_hash"), key)
+
 
 def hot_keys(counts: DataFrame, key: str, count: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """All keys with more than one slice of rows, and their number of slices.
@@ -53,16 +67,21 @@ def with_group_stats(
     spread_by: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
     attributes: DataFrame | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Each row beside aggregates of its group, as ``agg() OVER (PARTITION BY key)`` for non-NULL keys.
 
     A window would bring a whole group into one task. Map-side aggregation and a sliced join do not.
     ``attributes`` (one row per key) are joined to the aggregates and not to ``df``, which is shuffled
-    only once. The aggregates are stored, as both the list of hot keys and the join read them.
+    only once. The aggregates are stored, as both the list of hot keys and the join read them. ``groups`` are stored
+    aggregates, with the group's size as ``__rows``, if there are such. Without a hot key there are no slices.
     """
-    groups = df.groupBy(key).agg(*stats, F.count("*").alias("__rows"))
+    if groups is None:
+        groups = stored(df.groupBy(key).agg(*stats, F.count("*").alias("__rows")), "group-stats")
+    small = groups.drop("__rows")
     if attributes is not None:
-        groups = groups.join(attributes, key)
-    groups = stored(groups, "group-stats")
-    hot = hot_keys(groups, key, "__rows", rows_per_slice)
-    return sliced_join(df, groups.drop("__rows"), key, hot, spread_by)
+        small = small.join(attributes, key)
+    largest = groups.agg(F.max("__rows")).first()[0]
+    if (largest or 0) <= rows_per_slice:
+        return df.join(small.hint("shuffle_hash"), key)
+    return sliced_join(df, small, key, hot_keys(groups, key, "__rows", rows_per_slice), spread_by)

@@ -73,6 +73,8 @@ class Star(NamedTuple):
     dim_anime: DataFrame
     dim_date: DataFrame | None
     fact: DataFrame
+    user_totals: DataFrame | None = None  # sums of the fact per user and per title, if stored for several queries
+    title_totals: DataFrame | None = None
 
 
 def _typed_columns(raw: DataFrame, mapping) -> DataFrame:
@@ -147,10 +149,9 @@ def ratings_fact(
     """Ratings of known users and titles with keys, deviation and flags.
 
     The date key belongs to ``date_column`` when the source has one, else to the load date; with a
-    ``dim_date`` it is looked up there, and days outside that calendar get no key. Titles are joined without a
-    hint: under the broadcast threshold they are broadcast, beyond it adaptive execution splits hot titles of the
-    shuffled join. Users come last and always by a shuffle, a task's ids and keys being hashed, so that a user's
-    ratings end up in one task without another shuffle; adaptive execution splits hot users.
+    ``dim_date`` it is looked up there, and days outside that calendar get no key. Titles and users are joined by
+    shuffles with a task's ids and keys hashed, so that no ratings are sorted; adaptive execution splits hot ones.
+    Users come last, so that a user's ratings end up in one task without another shuffle.
     """
     if date_column:
         day = F.col(date_column).cast("date")
@@ -161,7 +162,7 @@ def ratings_fact(
         F.col("anime_id").alias("Anime_ID"),
         typed(F.col("rating"), "int").alias("User_Rating"),
         date_key(day).alias("Date_SK"),
-    ).join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score"), "Anime_ID")
+    ).join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score").hint("shuffle_hash"), "Anime_ID")
     if dim_date is not None:
         known = dim_date.select(F.col("Date_SK").alias("__day"))
         rows = rows.join(known, F.col("Date_SK") == F.col("__day"), "left").withColumn("Date_SK", F.col("__day"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratelens.operators.sampling import class_balance, random_split, split_report
 from ratelens.operators.star import TITLE_COLUMNS, USER_COLUMNS, Star, build_star
+from ratelens.plans.business import with_totals
 from ratelens.plans.features import (
     CLASSIFICATION_IDS,
     REGRESSION_IDS,
@@ -99,6 +100,7 @@ def run_business(spark: SparkSession, data: str, output: str, load_date: str | N
     star = csv_star(spark, data, f"{output}/star_schema", load_date)
     write_dataset_info(star.dim_anime, f"{output}/results")
     write_numeric_statistics(star.dim_anime, f"{output}/results")
+    star = with_totals(star)
     statuses = [run_batch(spark, star, batch, f"{output}/results/{batch}") for batch in BATCHES]
     combined = statuses[0]
     for status in statuses[1:]:

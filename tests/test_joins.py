@@ -103,3 +103,27 @@ def test_group_stats_shuffle_the_rows_once(spark, skewed, tmp_path):
     finally:
         spark.conf.set(setting, before)
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2  # of the rows, and of the groups
+
+
+@pytest.mark.parametrize(("few", "join"), [(100, "BroadcastHashJoin"), (20, "ShuffledHashJoin")])
+def test_rows_left_of_a_dimension_are_counted_before_the_join(spark, skewed, monkeypatch, few, join):
+    """A plain join is planned without knowing how few rows a filter leaves, and sorts both sides."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", few)
+    left = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).filter("k < 30")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result, expected = joins.join_selected(skewed, left, "k"), skewed.join(left, "k")
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and "SortMergeJoin" not in plan
+        assert result.exceptAll(expected).isEmpty() and result.count() == expected.count() > 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_known_group_stats_are_not_computed_again(skewed):
+    known = skewed.groupBy("k").agg(F.count("*").alias("n"), F.count("*").alias("__rows"))
+    expected = joins.with_group_stats(skewed, "k", [F.count("*").alias("n")], ["id"])
+    for rows_per_slice in (100, 10_000):
+        result = joins.with_group_stats(skewed, "k", (), ["id"], rows_per_slice, groups=known)
+        assert result.exceptAll(expected).isEmpty() and result.count() == 2000
