@@ -11,19 +11,24 @@ from ratelens.session import stored
 
 ROWS_PER_SLICE = 2_000_000
 
-#: Rows of a dimension that are broadcast; more are hashed task by task.
-BROADCAST_ROWS = 100_000
+#: Most bytes of a dimension's rows that are broadcast, by a count and the widths of their columns.
+BROADCAST_BYTES = 48_000_000
+_TEXT, _VALUE, _ROW = 32, 8, 12  # bytes of a text, of any other value, and of a row beside its values
+
+
+def by_count(small: DataFrame) -> DataFrame:
+    """``small`` with a hint for its join: few rows are broadcast, more are shuffled and hashed, so that neither side is sorted."""
+    row = _ROW + sum(_TEXT if kind == "string" else _VALUE for _, kind in small.dtypes)
+    return small.hint("broadcast" if small.count() * row <= BROADCAST_BYTES else "shuffle_hash")
 
 
 def join_selected(big: DataFrame, selected: DataFrame, key: str) -> DataFrame:
     """Inner equi-join of ``big`` with those rows of a dimension (one row per key) that a filter leaves.
 
     How few a filter leaves is not known when a join is planned, so ``big`` was shuffled and sorted beside a handful of
-    rows. ``selected`` is stored and its rows counted: few are broadcast, more are hashed, so that ``big`` needs no sort.
+    rows. ``selected`` is stored and its rows counted.
     """
-    selected = stored(selected, "selected")
-    few = selected.count() <= BROADCAST_ROWS
-    return big.join(selected.hint("broadcast" if few else "shuffle_hash"), key)
+    return big.join(by_count(stored(selected, "selected")), key)
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.functions.casting import typed
+from ratelens.operators.joins import by_count
 from ratelens.operators.ranking import dense_row_number
 from ratelens.session import side_by_side
 
@@ -149,9 +150,10 @@ def ratings_fact(
     """Ratings of known users and titles with keys, deviation and flags.
 
     The date key belongs to ``date_column`` when the source has one, else to the load date; with a
-    ``dim_date`` it is looked up there, and days outside that calendar get no key. Titles and users are joined by
-    shuffles with a task's ids and keys hashed, so that no ratings are sorted; adaptive execution splits hot ones.
-    Users come last, so that a user's ratings end up in one task without another shuffle.
+    ``dim_date`` it is looked up there, and days outside that calendar get no key. Titles' ids and keys are counted:
+    few are broadcast, more are shuffled and hashed, and adaptive execution splits hot titles. Users come last and always
+    by a shuffle, a task's ids and keys being hashed, so that a user's ratings end up in one task without another shuffle;
+    adaptive execution splits hot users.
     """
     if date_column:
         day = F.col(date_column).cast("date")
@@ -162,7 +164,7 @@ def ratings_fact(
         F.col("anime_id").alias("Anime_ID"),
         typed(F.col("rating"), "int").alias("User_Rating"),
         date_key(day).alias("Date_SK"),
-    ).join(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score").hint("shuffle_hash"), "Anime_ID")
+    ).join(by_count(dim_anime.select("Anime_SK", "Anime_ID", "Avg_Score")), "Anime_ID")
     if dim_date is not None:
         known = dim_date.select(F.col("Date_SK").alias("__day"))
         rows = rows.join(known, F.col("Date_SK") == F.col("__day"), "left").withColumn("Date_SK", F.col("__day"))

@@ -105,10 +105,10 @@ def test_group_stats_shuffle_the_rows_once(spark, skewed, tmp_path):
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2  # of the rows, and of the groups
 
 
-@pytest.mark.parametrize(("few", "join"), [(100, "BroadcastHashJoin"), (20, "ShuffledHashJoin")])
-def test_rows_left_of_a_dimension_are_counted_before_the_join(spark, skewed, monkeypatch, few, join):
+@pytest.mark.parametrize(("limit", "join"), [(30 * 28, "BroadcastHashJoin"), (29 * 28, "ShuffledHashJoin")])
+def test_rows_left_of_a_dimension_are_counted_before_the_join(spark, skewed, monkeypatch, limit, join):
     """A plain join is planned without knowing how few rows a filter leaves, and sorts both sides."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     left = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).filter("k < 30")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
