@@ -153,7 +153,8 @@ def run_regression(spark: SparkSession, data: str, output: str, specs=None) -> R
     train, test = (load_split(spark, f"{output}/regression", s) for s in ("train", "test"))
     features = feature_columns(train, REGRESSION_IDS)
     ranking = rank_regressors(
-        train.fillna(0), test.fillna(0), features, models_path=f"{output}/models/regression", specs=specs, key=["anime_id"]
+        train.fillna(0), test.fillna(0), features, models_path=f"{output}/models/regression", specs=specs, key=["anime_id"],
+        leave_out=False,
     )
     write_csv(ranking.leaderboard, f"{output}/results/regression_leaderboard.csv", single_file=True)
     return ranking
@@ -195,7 +196,8 @@ def run_classification(
     train, test = (load_split(spark, f"{output}/classification", s) for s in ("train", "test"))
     features = feature_columns(train, CLASSIFICATION_IDS)
     ranking = rank_classifiers(
-        train.fillna(0), test.fillna(0), features, models_path=f"{output}/models/classification", specs=specs, key=["user_id"]
+        train.fillna(0), test.fillna(0), features, models_path=f"{output}/models/classification", specs=specs, key=["user_id"],
+        leave_out=False,
     )
     names = dict(enumerate(selection.classes))
     report = classification_report(ranking.predictions[ranking.best], "gender_encoded", names)

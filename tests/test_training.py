@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from ratelens.checks import registry
 from ratelens.plans import training
 
 
@@ -82,6 +84,20 @@ def test_a_failing_model_is_left_out(data):
         training.rank_regressors(train, test, ["a"], "y", specs=[broken])
 
 
+@pytest.mark.parametrize("name", ["classification_leaderboard"])
+def test_a_failing_model_fails_the_query(spark, data, monkeypatch, tmp_path, name):
+    train, test = (df.withColumnRenamed("id", "user_id").withColumnRenamed("label", "gender_encoded") for df in data)
+    table = train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test"))).withColumn("Gender", F.lit("Male"))
+    specs = [training.ModelSpec("Quick", lambda y, n: LogisticRegression(labelCol=y, featuresCol="features", maxIter=2))]
+    broken = training.ModelSpec("Broken", lambda y, n: LinearRegression(labelCol="missing"))
+    monkeypatch.setattr(registry, "_split_users", lambda spark, directory: table)
+    monkeypatch.setattr(training, "classification_models", lambda: [*specs, broken])
+    with pytest.raises(RuntimeError, match="Broken"):
+        registry.registered()[name](spark, str(tmp_path))
+    monkeypatch.setattr(training, "classification_models", lambda: specs)
+    assert registry.registered()[name](spark, str(tmp_path)).count() == (1 if name.endswith("leaderboard") else 5)
+
+
 def test_classifiers_rank_by_f1(data):
     train, test = data
     specs = [s for s in training.classification_models(depth=4) if "Forest" not in s.name]
