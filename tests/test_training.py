@@ -84,7 +84,7 @@ def test_a_failing_model_is_left_out(data):
         training.rank_regressors(train, test, ["a"], "y", specs=[broken])
 
 
-@pytest.mark.parametrize("name", ["classification_leaderboard"])
+@pytest.mark.parametrize("name", ["classification_leaderboard", "classification_report"])
 def test_a_failing_model_fails_the_query(spark, data, monkeypatch, tmp_path, name):
     train, test = (df.withColumnRenamed("id", "user_id").withColumnRenamed("label", "gender_encoded") for df in data)
     table = train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test"))).withColumn("Gender", F.lit("Male"))
