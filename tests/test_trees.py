@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -85,6 +86,76 @@ def test_equals_plain_trees_wherever_they_are_grown(rows, local_rows):
     assert counted == {f: sum(v[0] == f for v in expected.values()) for f in counted} and 2 not in counted
 
 
+def flagged(count=300):
+    rng = random.Random(5)
+    out = []
+    for _ in range(count):
+        x = [float(rng.random() < 0.2), rng.random(), 1.0, *[float(rng.random() < 0.1) for _ in range(20)], float(rng.randint(0, 2)), 0.0]
+        out.append((x, round(1e6 * (x[0] + x[1] + x[5] + rng.random()))))
+    return out
+
+
+@pytest.mark.parametrize("local_rows", [40, 4096])
+def test_features_of_zeros_and_ones_give_plain_trees(spark, local_rows):
+    data = flagged()
+    table = spark.createDataFrame(data, "x array<double>, y bigint").repartition(3)
+    found, expected = nodes_of(trees.grow(table, 2, seed=7, local_rows=local_rows)), {}
+    for tree in range(2):
+        expected |= {(tree, node): split for node, split in plain(data, tree, 1, 7)[0].items()}
+    assert {k: f for k, (f, _) in found.items()} == {k: f for k, (f, _) in expected.items()}
+    assert all(found[k][1] == pytest.approx(expected[k][1]) for k in found)
+
+
+def test_dealt_rows_have_a_bit_for_a_feature_of_zeros_and_ones(spark):
+    """Before, a row had eight bytes for each feature, 200 here."""
+    data = flagged()
+    table = trees.encode(spark.createDataFrame(data, "x array<double>, y bigint"))
+    layout = trees.layout_of(table, 25)
+    assert layout.others.tolist() == [1, 23]
+    rows = trees.packed(table, layout)
+    sent = trees.deal(rows, [trees.top_of([])], [0], set(), layout.size, whole=layout.whole).collect()
+    assert sum(len(r["x"]) for r in sent) == len(data) * 19
+    x = np.concatenate([layout.whole(np.frombuffer(r["x"], np.uint8).reshape(-1, 19)) for r in sent])
+    assert sorted(x.tolist()) == sorted(x for x, _ in data)
+
+
+def test_cuts_of_zeros_and_ones_are_drawn_for_the_best_one_alone(monkeypatch):
+    data, drawn = flagged(), []
+    x, y = np.array([x for x, _ in data]), np.array([y for _, y in data])
+    draw_all = trees.draw_all
+    monkeypatch.setattr(trees, "draw_all", lambda *a: drawn.extend(a[3].tolist()) or draw_all(*a))
+    layout = trees.Layout.of(trees.are_flags(x))
+    trees.finish(*layout.parts(layout.pack(x)), layout, y, 0, 1, 7, 2)
+    nodes = plain(data, 0, 1, 7)[0]
+    assert sum(f in layout.flags for f in drawn) == sum(f in layout.flags for f, _ in nodes.values()) > 5
+
+
+def test_predictions_of_rows_that_differ_in_their_zeros_and_ones(spark):
+    data = flagged()
+    table = spark.createDataFrame(data, "x array<double>, y bigint")
+    forest = trees.grow(table, 3, seed=7)
+    rows = [(k, x if k % 2 else [*x[:3], *[0.5] * 20, *x[23:]]) for k, (x, _) in enumerate(data)]
+    mixed = spark.createDataFrame(rows, "id bigint, x array<double>").repartition(4)
+    one = {r["id"]: r["prediction"] for r in trees.predict(mixed, forest).collect()}
+    splits = [{node: split for (tree, node), split in nodes_of(forest).items() if tree == t} for t in range(3)]
+    leaves = {}
+    for r in forest.subtrees.collect():
+        todo = [(0, r["node"])]
+        while todo:
+            at, node = todo.pop()
+            leaves[r["tree"], node] = r["sums"][at] * 1e-6 / r["n"][at]
+            if r["lefts"][at] >= 0:
+                todo += [(r["lefts"][at] + c, 2 * node + c) for c in range(2)]
+    for k, x in rows:
+        total = 0.0
+        for tree, inner in enumerate(splits):
+            node = 1
+            while node in inner:
+                node = 2 * node + (x[inner[node][0]] > inner[node][1])
+            total += leaves[tree, node]
+        assert one[k] == pytest.approx(total / 3, abs=1e-8)
+
+
 def test_a_large_node_without_a_cut_is_a_leaf(spark):
     same = spark.range(50).select(F.array(F.lit(1.0)).alias("x"), F.col("id").alias("y"))
     forest = trees.grow(same, 2, local_rows=10)
